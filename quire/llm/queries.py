@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import simhash_dedup
+from quire.llm import packing, simhash_dedup
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,15 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
+        "op2_packing": op2_packing,
     }
 
 
