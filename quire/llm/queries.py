@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, simhash_dedup
+from quire.llm import packing, simhash_dedup, substring_dedup
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_packing": op2_packing,
+        "op3_substring_dedup": op3_substring_dedup,
     }
 
 
