@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import packing, quality_rules, simhash_dedup, substring_dedup
+from quire.llm import decontaminate, packing, quality_rules, simhash_dedup, substring_dedup
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "source", "n_lines")
@@ -38,6 +42,7 @@ def queries() -> dict[str, Query]:
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_packing": op2_packing,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_decontaminate": op4_decontaminate,
         "op5_quality_rules": op5_quality_rules,
     }
 
