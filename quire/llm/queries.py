@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, packing, quality_rules, simhash_dedup, substring_dedup
+from quire.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "source", "n_lines")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+    counts = {f"n_{k}": secret_scan.counted("base", k) for k in ("assign", "access", "hex")}
+    digest = F.sha2(secret_scan.rendered("base"), 256)
+    return found.select("doc_id", *[v.alias(k) for k, v in counts.items()], digest.alias("base_sha256"), secret_scan.rendered("spans").alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -44,6 +51,7 @@ def queries() -> dict[str, Query]:
         "op3_substring_dedup": op3_substring_dedup,
         "op4_decontaminate": op4_decontaminate,
         "op5_quality_rules": op5_quality_rules,
+        "op6_secret_scan": op6_secret_scan,
     }
 
 
