@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup
+from quire.llm import chat_format, decontaminate, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[v.alias(k) for k, v in counts.items()], digest.alias("base_sha256"), secret_scan.rendered("spans").alias("spans"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render(table(spark, sf_dir, "conversations"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -52,6 +60,8 @@ def queries() -> dict[str, Query]:
         "op4_decontaminate": op4_decontaminate,
         "op5_quality_rules": op5_quality_rules,
         "op6_secret_scan": op6_secret_scan,
+        "op7_chat_format": op7_chat_format,
+        "op8_url_filter": op8_url_filter,
     }
 
 
