@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat_format, decontaminate, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
+from quire.llm import chat_format, decontaminate, lm_score, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -62,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op6_secret_scan": op6_secret_scan,
         "op7_chat_format": op7_chat_format,
         "op8_url_filter": op8_url_filter,
+        "op9_lm_score": op9_lm_score,
     }
 
 
