@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat_format, decontaminate, lm_score, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
+from quire.llm import chat_format, decontaminate, lm_score, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from quire.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op7_chat_format": op7_chat_format,
         "op8_url_filter": op8_url_filter,
         "op9_lm_score": op9_lm_score,
+        "op10_quality_classifier": op10_quality_classifier,
     }
 
 
