@@ -29,9 +29,11 @@ from quire.llm.quality_rules import measure
 
 FOLDS, HELD_OUT = 3, 1
 POSITIVES, UNLABELLED = 4096, 12_288
-BUCKETS = 256
+BUCKETS = 64
 RATIOS = 9
-HIDDEN, STEPS, RATE, DECAY = 16, 400, 0.01, 1e-4
+HIDDEN, STEPS, RATE, DECAY = 16, 400, 0.01, 1e-3
+#: Byte pairs, which are many, count this much less than the ratios.
+PAIR_WEIGHT = 0.2
 
 
 def features(text: bytes | None) -> np.ndarray:
@@ -64,6 +66,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     """Weights that minimise the non-negative risk; full-batch Adam."""
     rng = np.random.default_rng(seed)
     mean, spread = unlabelled.mean(0), unlabelled.std(0) + 1e-3
+    spread[:BUCKETS] /= PAIR_WEIGHT
     positive, unlabelled = (positive - mean) / spread, (unlabelled - mean) / spread
     d = positive.shape[1]
     w = [rng.normal(0, d**-0.5, (d, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
