@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import materialize
 
 FOLDS, HELD_OUT = 7, 2
-CHUNK_TOKENS = 1 << 20
+#: Tokens to a chunk when counting, where large chunks combine more, and when scoring.
+CHUNK_TOKENS, SCORE_TOKENS = 1 << 20, 1 << 18
 CACHED_WORDS = 300_000
 MAX_BITS = 1 << 29
 BITS_PER_EVENT, LEAST_BITS_PER_EVENT, PROBES = 8, 5, 3
@@ -83,10 +85,10 @@ def _before(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about CHUNK_TOKENS tokens at most, judged by bytes; a text is never cut."""
+def _chunks(batches: Iterator[pa.RecordBatch], column: str, tokens: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about so many tokens at most, judged by bytes; a text is never cut."""
     for batch in batches:
-        sizes = np.cumsum([len(x) if x else 0 for x in batch.column(column).to_pylist()]) // (4 * CHUNK_TOKENS)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // (4 * tokens)
         cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
@@ -153,11 +155,14 @@ def _segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
 class LogFrequencyFilter:
     """Segments of bits; the high bits of an n-gram's hash choose its segment."""
 
-    def __init__(self, segments: dict[int, bytes], buckets: int):
-        sizes = np.array([len(segments.get(k, b"")) for k in range(buckets)])
-        self.begin = np.r_[0, np.cumsum(sizes)[:-1]] * 8
-        self.size = sizes * 8
-        self.bits = np.frombuffer(b"".join(segments.get(k, b"") for k in range(buckets)), dtype=np.uint8)
+    def __init__(self, segments: pa.Table, buckets: int):
+        """segments: segment and data (bytes) of each; buckets without one are empty."""
+        begin, size, bits = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64), bytearray()
+        for k, data in zip(segments["segment"], segments["data"], strict=True):
+            begin[k.as_py()], size[k.as_py()] = len(bits) * 8, len(data.as_buffer()) * 8
+            bits += data.as_buffer()
+        self.begin, self.size = begin, size
+        self.bits = np.frombuffer(bits, dtype=np.uint8)
         self.shift = _U(65 - buckets.bit_length())
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
@@ -185,7 +190,7 @@ def count_ngrams(train: DataFrame) -> tuple[DataFrame, int]:
 
     def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHash()
-        for part in _chunks(batches, "text"):
+        for part in _chunks(batches, "text", CHUNK_TOKENS):
             tokens, at = _tokens(part.column("text").to_pylist(), cache)
             for order, grams in ((0, _mixed(tokens)), (1, _pairs(_before(tokens, at), tokens))):
                 made = list(_blobs(grams, buckets))
@@ -232,9 +237,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     words = table.where("kind = 0").select("h", "c")
     train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
     head_h, head_c, limit = frequent_words(words)
-    segments = table.where("kind = 1").select("segment", "data").toArrow().to_pydict()
-    model = LogFrequencyFilter(dict(zip(segments["segment"], segments["data"], strict=True)), buckets)
-    del segments
+    model = LogFrequencyFilter(table.where("kind = 1").select("segment", "data").toArrow(), buckets)
     shared = spark.sparkContext.broadcast((model, head_h, head_c))
     total = train_tokens + distinct + 1
 
@@ -242,7 +245,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         model, head_h, head_c = shared.value
         cache = _WordHash()
         starts = float(model.counts(_mixed(np.array([END], dtype=_U)))[0])
-        for part in _chunks(batches, "text"):
+        for part in _chunks(batches, "text", SCORE_TOKENS):
             tokens, at = _tokens(part.column("text").to_pylist(), cache)
             grams = _mixed(tokens)
             distinct_grams, back = np.unique(grams, return_inverse=True)
