@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quire.functions.geometry import element_id
@@ -80,20 +81,20 @@ def xy_cut(boxes: list[tuple[int, int, int, int]]) -> list[int]:
     return out
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _page_order(pages: pd.Series) -> pd.Series:
+    """The ids of the boxes (id, x, y, w, h) of each page in reading order; a page holds 10,000 boxes at most."""
+    ordered = lambda boxes: [boxes[i]["id"] for i in xy_cut([(b["x"], b["y"], b["w"], b["h"]) for b in boxes])]
+    return pages.map(ordered)
+
+
 def reading_order(elements: DataFrame) -> DataFrame:
     """elements (doc_id, page, id, bbox, render, ...) with reading_order, dense from 0 over a document.
 
     Within a page the flow goes by XY-cut, the rest follows by its top edge.
     """
-
-    def page_order(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        order = xy_cut([(b["x"], b["y"], b["w"], b["h"]) for b in rows["bbox"]])
-        return pd.DataFrame({"doc_id": rows["doc_id"], "id": rows["id"].iloc[order].to_numpy(), "rank": range(len(order))})
-
-    flow = elements.where("render = 'flow'")
-    kind = elements.schema["doc_id"].dataType.simpleString()
-    ranked = flow.select("doc_id", "page", "id", "bbox").groupBy("doc_id", "page").applyInPandas(page_order, f"doc_id {kind}, id long, rank long")
+    flow = elements.where("render = 'flow'").groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("id", "bbox.x", "bbox.y", "bbox.w", "bbox.h"))).alias("page_boxes"))
+    ranked = flow.select("doc_id", F.posexplode(_page_order("page_boxes")).alias("rank", "id"))
     out = elements.join(ranked, ["doc_id", "id"], "left")
     by = Window.partitionBy("doc_id").orderBy("page", F.col("rank").isNull(), "rank", "bbox.y", "id")
     return out.withColumn("reading_order", F.row_number().over(by) - 1).drop("rank")

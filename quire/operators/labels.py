@@ -5,10 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quire.functions.alignment import labelled_lines
 from quire.functions.geometry import bounding_box, from_canonical
+from quire.operators.common import spread
 
 MIN_WIDTH, MIN_HEIGHT, MIN_LINES = 16, 8, 50
 VARIANTS = ("blur", "noise", "jpeg")
@@ -26,22 +28,26 @@ def crop_boxes(lines: DataFrame) -> DataFrame:
     return out.where(f"crop.w >= {MIN_WIDTH} and crop.h >= {MIN_HEIGHT}")
 
 
+_FOUND = T.StructType([T.StructField("label", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("reason", T.StringType())])
+
+
+@F.pandas_udf(T.ArrayType(_FOUND))
+def _align(pages: pd.Series, gold: pd.Series) -> pd.Series:
+    made = lambda lines, text: [dict(zip(("label", "similarity", "reason"), f, strict=True)) for f in labelled_lines(list(lines), text)]
+    return pd.Series([made(lines, text) for lines, text in zip(pages, gold, strict=True)], dtype=object)
+
+
 def align_lines(lines: DataFrame, gold: DataFrame) -> DataFrame:
     """(doc_id, page, line_no, label, similarity, reason): labels for lines (doc_id, page, line_no, text) from gold pages (doc_id, page, text).
 
-    One page is one group. Lines of pages without gold text get a reason and no label.
+    Lines of pages without gold text get a reason and no label.
     """
     truth = gold.select("doc_id", "page", F.col("text").alias("gold"))
-    both = lines.select("doc_id", "page", "line_no", "text").join(truth, ["doc_id", "page"], "left")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("line_no")
-        text = rows.gold.iloc[0]
-        found = labelled_lines(rows.text.fillna("").tolist(), text if isinstance(text, str) else "")
-        return rows[["doc_id", "page", "line_no"]].assign(label=[f[0] for f in found], similarity=[f[1] for f in found], reason=[f[2] for f in found])
-
-    kind = lines.schema["doc_id"].dataType.simpleString()
-    return both.groupBy("doc_id", "page").applyInPandas(run, f"doc_id {kind}, page int, line_no int, label string, similarity double, reason string")
+    per = lines.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("lines"))
+    said = F.transform("lines", lambda x: F.coalesce(x["text"], F.lit("")))
+    both = spread(per.join(truth, ["doc_id", "page"], "left"), "doc_id", "page").withColumn("found", _align(said, F.coalesce("gold", F.lit(""))))
+    each = both.select("doc_id", "page", F.explode(F.arrays_zip("lines", "found")).alias("z"))
+    return each.select("doc_id", "page", "z.lines.line_no", "z.found.label", "z.found.similarity", "z.found.reason")
 
 
 def report(aligned: DataFrame) -> DataFrame:

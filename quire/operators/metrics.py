@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from quire.functions.alignment import levenshtein
 from quire.functions.geometry import iou
 
 IOU_FLOOR = 0.5
 
 
+@F.pandas_udf(T.LongType())
+def character_errors(predicted: pd.Series, gold: pd.Series) -> pd.Series:
+    """The edit distance in code points; a row of bits at a time, so long texts are cheaper than cell by cell."""
+    return pd.Series([None if p is None or g is None else levenshtein(p, g) for p, g in zip(predicted, gold, strict=True)], dtype="Int64")
+
+
 def detections(predicted: DataFrame, gold: DataFrame, floor: float = IOU_FLOOR) -> DataFrame:
     """(doc_id, page, p, g, iou, same_type): mutual best matches of boxes (doc_id, page, pos, category, bbox) by IoU."""
     p = predicted.select("doc_id", "page", F.col("pos").alias("p"), F.col("category").alias("p_type"), F.col("bbox").alias("p_box"))
@@ -23,8 +32,10 @@ def detections(predicted: DataFrame, gold: DataFrame, floor: float = IOU_FLOOR)
 
 def detection_scores(matches: DataFrame, predicted: DataFrame, gold: DataFrame) -> DataFrame:
     """One row: precision, recall, f1 and type_accuracy; null where there is nothing to divide by."""
+    one = lambda df, name: df.agg(F.count("*").alias(name))
     m = matches.agg(F.count("*").alias("m"), F.avg(F.col("same_type").cast("int")).alias("type_accuracy"))
-    n = predicted.agg(F.count("*").alias("n_pred")).join(F.broadcast(gold.agg(F.count("*").alias("n_gold")))).join(F.broadcast(m))  # three single rows
+    n = one(predicted, "n_pred").unionByName(one(gold, "n_gold"), allowMissingColumns=True).unionByName(m, allowMissingColumns=True)
+    n = n.agg(*[F.max(c).alias(c) for c in ("n_pred", "n_gold", "m", "type_accuracy")])
     precision, recall = F.try_divide("m", "n_pred"), F.try_divide("m", "n_gold")
     return n.select(precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * F.col("m"), F.col("n_pred") + F.col("n_gold")).alias("f1"), "type_accuracy")
 
@@ -41,7 +52,7 @@ def order_tau(elements: DataFrame) -> DataFrame:
 
 def cer(predicted: Column, gold: Column) -> Column:
     """Character errors over gold characters; null for an empty gold text."""
-    return F.try_divide(F.levenshtein(predicted, gold), F.nullif(F.length(gold), F.lit(0)))
+    return F.try_divide(character_errors(predicted, gold), F.nullif(F.length(gold), F.lit(0)))
 
 
 def field_scores(predicted: DataFrame, gold: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.alignment import wer
 from quire.functions.normalize import before_aside
 from quire.functions.tables import FLOOR, MOST_CANDIDATES, extract_tables, pair_greedily, table_similarity
+from quire.operators.common import spread
 
 NO_GOLD, NO_PREDICTION = "prediction has no ground-truth record", "ground truth has no prediction"
 
@@ -22,7 +25,7 @@ def pair(predicted: DataFrame, gold: DataFrame) -> DataFrame:
 
 def score_wer(pairs: DataFrame) -> DataFrame:
     """(doc_id, errors, n_words, ignored, wer) of paired texts; nulls where the gold has no words."""
-    both = pairs.where("reason is null").select("doc_id", wer(before_aside(F.col("predicted")), F.col("gold")).alias("s"))
+    both = spread(pairs.where("reason is null"), "doc_id").select("doc_id", wer(before_aside(F.col("predicted")), F.col("gold")).alias("s"))
     return both.select("doc_id", "s.errors", "s.n_words", "s.ignored", (F.col("s.errors") / F.col("s.n_words")).alias("wer"))
 
 
@@ -54,20 +57,23 @@ def table_candidates(pairs: DataFrame, most: int = MOST_CANDIDATES) -> tuple[Dat
     note = F.when(over, F.format_string(f"%d x %d tables exceeds the {most}-candidate cap", F.size("ps"), F.size("gs")))
     counts = both.select("doc_id", F.size("ps").alias("n_pred"), F.size("gs").alias("n_gold"), note.alias("note"))
     each = both.where(~over).select("doc_id", F.posexplode("ps").alias("p", "pt"), "gs").select("doc_id", "p", "pt", F.posexplode("gs").alias("g", "gt"))
-    each = each.repartition("doc_id", "p", "g").select("doc_id", "p", "g", table_similarity("pt", "gt").alias("s"))
+    each = spread(each, "doc_id", "p", "g").select("doc_id", "p", "g", table_similarity("pt", "gt").alias("s"))
     return each.select("doc_id", "p", "g", "s.teds_struct", "s.teds"), counts
 
 
+_PAIR = T.StructType([T.StructField("p", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("teds_struct", T.DoubleType()), T.StructField("teds", T.DoubleType())])
+
+
 def greedy_pairs(candidates: DataFrame, floor: float = FLOOR) -> DataFrame:
-    """(doc_id, p, g, teds_struct, teds) of the greedy matching of each document; at most a capped number of rows meet in one group."""
-    import pandas as pd
+    """(doc_id, p, g, teds_struct, teds) of the greedy matching of each document; table_candidates caps a document's rows."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = pair_greedily(zip(rows.p, rows.g, rows.teds_struct, rows.teds, strict=True), floor)
-        return pd.DataFrame(found, columns=["p", "g", "teds_struct", "teds"]).assign(doc_id=rows.doc_id.iloc[0])[["doc_id", "p", "g", "teds_struct", "teds"]]
+    @F.pandas_udf(T.ArrayType(_PAIR))
+    def match(rows: pd.Series) -> pd.Series:
+        made = lambda cs: [dict(zip(_PAIR.names, f, strict=True)) for f in pair_greedily(((c["p"], c["g"], c["teds_struct"], c["teds"]) for c in cs), floor)]
+        return rows.map(made)
 
-    kind = candidates.schema["doc_id"].dataType.simpleString()
-    return candidates.groupBy("doc_id").applyInPandas(run, f"doc_id {kind}, p int, g int, teds_struct double, teds double")
+    per = candidates.groupBy("doc_id").agg(F.collect_list(F.struct(*_PAIR.names)).alias("cs"))
+    return per.select("doc_id", F.inline(match("cs")))
 
 
 def table_scores(matched: DataFrame, counts: DataFrame) -> DataFrame:

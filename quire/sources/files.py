@@ -74,9 +74,14 @@ def page_count(content: bytes, suffix: str) -> int:
     raise SourceError(f"unsupported format: {suffix}")
 
 
+def duplicate_keys(df: DataFrame, key: str, shown: str) -> DataFrame:
+    """(key, n, shown): keys with more than one row, and the least and largest value of another column."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.array(F.min(shown), F.max(shown)).alias("shown")).where("n > 1")
+
+
 def require_unique(df: DataFrame, key: str, shown: str) -> DataFrame:
     """df, or an error that names two rows which share a key."""
-    twice = df.groupBy(key).agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set(shown)), 1, 2).alias("shown")).where("n > 1").orderBy(key).head(1)
+    twice = duplicate_keys(df, key, shown).orderBy(key).head(1)
     if twice:
         raise SourceError(f"{key} {twice[0][0]!r} occurs twice: {', '.join(map(str, twice[0].shown))}")
     return df
