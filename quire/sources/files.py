@@ -53,12 +53,13 @@ def load_pages(files: DataFrame, render: Callable[[bytes, str, int], Iterator[di
         for batch in batches:
             rows = []
             for stem, suffix, content in zip(batch.stem, batch.suffix, batch.content, strict=True):
+                own = {"doc_id": stem, "dpi": dpi, "rotation_applied": 0, "deskew_angle": 0.0, "deskew_matrix": [1.0, 0.0, 0.0, 0.0, 1.0, 0.0]}
                 if render is not None:
-                    rows += [{"doc_id": stem} | page for page in render(content, suffix, dpi)]
+                    rows += [own | page for page in render(content, suffix, dpi)]
                 elif suffix == "pdf":
                     raise SourceError(f"{stem}: a PDF needs a renderer")
                 else:
-                    rows.append({"doc_id": stem, "page": 1, "content": content, "dpi": dpi, "rotation_applied": 0, "deskew_angle": 0.0, "deskew_matrix": [1.0, 0.0, 0.0, 0.0, 1.0, 0.0]})
+                    rows.append(own | {"page": 1, "content": content})
             made = pd.DataFrame(rows, columns=names)
             yield made.astype({c: "Int32" for c in ("page", "width_px", "height_px", "dpi", "rotation_applied")} | {c: "float64" for c in ("deskew_angle", "pdf_width_pt", "pdf_height_pt")})
 
