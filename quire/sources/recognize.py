@@ -37,7 +37,7 @@ def recognize_pages(pages: DataFrame, detect: Callable[[bytes], list[dict]], rec
     columns = [c.split()[0] for c in BOX_SCHEMA.split(", ")]
 
     def one(doc_id: str, page: int, content: bytes) -> Iterator[dict]:
-        own = {"doc_id": doc_id, "page": page}
+        own = dict.fromkeys(columns) | {"doc_id": doc_id, "page": page}
         stage = "preprocess"
         try:
             content, _ = preprocess(content, {}, steps, registry or {})

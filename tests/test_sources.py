@@ -69,7 +69,7 @@ def test_pages(spark, tmp_path):
     assert files.load_pages(found, render).count() == 4
     page = files.load_pages(found.where("suffix = 'png'")).first()
     assert (page.doc_id, page.page, page.deskew_matrix[0]) == ("i", 1, 1.0)
-    (tmp_path / "x.xls").write_bytes(b"")
+    (tmp_path / "x.xls").write_bytes(b"x")
     with pytest.raises(Exception, match="unsupported format"):
         files.load_pages(files.binary_files(spark, str(tmp_path)), render).collect()
 
