@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import chat_format, decontaminate, lm_score, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from quire.llm.common import table
+from quire.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,4 +77,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -66,9 +66,9 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def personalised_rank(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """(host, rank) along edges (src, dst, n) from seeds (host, share), shares adding up to one.
+    """(host, rank) along edges (src, dst, n) from seeds (host, share).
 
-    What dangling hosts hold flows nowhere, so ranks add up to one at most.
+    Every seed starts with a share of one, so limits mean the same for any number of hosts; what dangling hosts hold flows nowhere.
     """
     out_of = edges.groupBy("src").agg(F.sum("n").alias("total"))
     weighted = materialize(edges.join(out_of, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("w")))
@@ -90,7 +90,7 @@ def host_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, ma
     seeds = {}
     for kind in ("good", "bad"):
         chosen = by_host.where(f"{kind} * 2 > n")
-        seeds[kind] = chosen.select("host", F.lit(1.0 / max(1, chosen.count())).alias("share"))
+        seeds[kind] = chosen.select("host", F.lit(1.0).alias("share"))
     trust = personalised_rank(edges, seeds["good"])
     distrust = personalised_rank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), seeds["bad"])
     both = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full").fillna(0.0, ["trust", "distrust"])
