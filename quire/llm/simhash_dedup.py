@@ -208,8 +208,9 @@ def simhash_components(docs: DataFrame, width: int = 4, distance: int = MAX_DIST
         raise ValueError("the covering is built for distances from 0 to 4")
     fps = materialize(fingerprints(docs, width))
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    # Each row becomes about 172: a fixed number of partitions keeps adaptive execution from merging them by their size before that.
-    spread = nodes.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # Each row becomes about 172: a fixed number of partitions keeps adaptive execution from merging them by their size before
+    # that. Dealt by another expression than the aggregation, as Catalyst drops a repartition by the same key.
+    spread = nodes.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     parts = connected_components(links(replicate(spread), distance))
     known = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
     roots = known.where("root is not null").groupBy("root").agg(F.min("least").alias("of_root"))
