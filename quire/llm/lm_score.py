@@ -7,10 +7,12 @@ Counting: a task counts words and word pairs in chunks of about a million tokens
 hash bucket, one binary row of hashes and counts. A bucket adds them up; it returns the exact word
 counts and, for pairs and words, its segment of the filter. A count c has the level q = 1 + floor(log2 c), and the filter holds
 the events (n-gram, 1) to (n-gram, q), so that probing until the first miss gives q back, too high
-only by false positives. A segment has 8 bits for an event, 3 hash functions, and at
-most MAX_BITS / buckets bits. The filter thus never exceeds MAX_BITS (64 MiB), which bounds the broadcast at any corpus size: where
-a segment would get fewer than 5 bits for an event, it leaves out its rarest pairs, whose
-probability then comes from the word alone. All counting before that covers all n-grams.
+only by false positives. A segment has 8 bits for an event and 3 hash functions, whatever the size of the corpus: the filter
+holds every n-gram and grows with them.
+
+Probing: a filter of at most MOST_BROADCAST bytes, which is checked, is broadcast to the workers. A larger one stays where it
+is: each chunk of texts sends its distinct n-grams to their segments, one binary row for each segment,
+gets their levels back and is scored with them. Both ways give the same scores.
 
 Scoring: p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU) with p(w) = (c(w) + 1) / (N + V + 1), all counts from probes.
 The base score uses exact counts: those of at most HEAD frequent words are broadcast, occurrences of
@@ -23,24 +25,26 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import materialize
 
 FOLDS, HELD_OUT = 7, 2
-#: Tokens to a chunk when counting, where large chunks combine more, and when scoring.
+#: Tokens to a chunk when counting or sending probes, where large chunks combine more, and when scoring with a broadcast filter.
 CHUNK_TOKENS, SCORE_TOKENS = 1 << 20, 1 << 18
 CACHED_WORDS = 300_000
-MAX_BITS = 1 << 29
-BITS_PER_EVENT, LEAST_BITS_PER_EVENT, PROBES = 8, 5, 3
+BITS_PER_EVENT, PROBES = 8, 3
+#: Bytes of a filter that is still broadcast.
+MOST_BROADCAST = 1 << 26
 #: Exact counts of at most this many words are broadcast, 16 bytes each.
 HEAD = 1 << 20
 MU = 8.0
@@ -135,16 +139,10 @@ def _probe_bits(grams: np.ndarray, level: int | np.ndarray, bits: np.ndarray | i
         yield (event + _U(k) * step) % np.asarray(bits, dtype=_U)
 
 
-def _segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
+def _segment(grams: np.ndarray, counts: np.ndarray) -> bytes:
     """The bits of a segment that holds the events of these n-grams."""
     level = _levels(counts)
-    by_level = np.bincount(level)
-    least = 1
-    events = lambda: int(sum(by_level[q] * q for q in range(least, len(by_level))))
-    while events() * LEAST_BITS_PER_EVENT > most_bits:
-        least += 1
-    grams, level = grams[level >= least], level[level >= least]
-    size = max(64, min(most_bits, BITS_PER_EVENT * events()) // 64 * 64)
+    size = max(64, BITS_PER_EVENT * int(level.sum()) // 64 * 64)
     held = np.zeros(size, dtype=bool)
     for q in range(1, int(level.max(initial=0)) + 1):
         for at in _probe_bits(grams[level >= q], q, size):
@@ -165,8 +163,8 @@ class LogFrequencyFilter:
         self.bits = np.frombuffer(bits, dtype=np.uint8)
         self.shift = _U(65 - buckets.bit_length())
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Estimated counts: the middle of the range that has the level found, 0 if there is none."""
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The levels found by probing until the first miss, 0 if there is none."""
         level = np.zeros(len(grams), dtype=np.int64)
         segment = (grams >> self.shift).astype(np.int64)
         live = np.flatnonzero(self.size[segment])
@@ -180,7 +178,15 @@ class LogFrequencyFilter:
             live = live[hit]
             level[live] = q
             q += 1
-        return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
+        return level
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        return estimated(self.levels(grams))
+
+
+def estimated(level: np.ndarray) -> np.ndarray:
+    """Estimated counts: the middle of the range that has the level, 0 for level 0."""
+    return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
 
 
 def count_ngrams(train: DataFrame) -> tuple[DataFrame, int]:
@@ -204,7 +210,7 @@ def count_ngrams(train: DataFrame) -> tuple[DataFrame, int]:
                 grams.append(_added(chosen, bucket, buckets))
                 if order == 0:
                     out.append(pd.DataFrame({"kind": 0, "h": grams[0][0].view(np.int64), "c": grams[0][1], "segment": 0, "data": None}))
-        held = _segment(np.concatenate([g for g, _ in grams]), np.concatenate([c for _, c in grams]), MAX_BITS // buckets)
+        held = _segment(np.concatenate([g for g, _ in grams]), np.concatenate([c for _, c in grams]))
         out.append(pd.DataFrame({"kind": [1], "h": [0], "c": [0], "segment": [bucket], "data": [held]}))
         return pd.concat(out)
 
@@ -228,49 +234,136 @@ def frequent_words(words: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.n
     return h[order], c[order], limit
 
 
+class _Scorer:
+    """Scores chunks of texts; head_h and head_c are the exact counts of frequent words, total is N + V + 1."""
+
+    COLUMNS = ("n_tokens", "known", "base", "score", "tail")
+    SCHEMA = "n_tokens long, known long, base double, score double, tail array<long>"
+
+    def __init__(self, head_h: np.ndarray, head_c: np.ndarray, total: int):
+        self.head_h, self.head_c, self.total = head_h, head_c, total
+
+    def __call__(self, tokens: np.ndarray, at: np.ndarray, counts: Callable[[np.ndarray], np.ndarray]) -> list[pa.Array]:
+        """The COLUMNS of each text; counts gives the estimated counts of n-grams, tail has the words that aren't frequent."""
+        grams = _mixed(tokens)
+        distinct, back = np.unique(grams, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.head_h, distinct), max(0, len(self.head_h) - 1))
+        is_head = self.head_h[place] == distinct if len(self.head_h) else np.zeros(len(distinct), dtype=bool)
+        exact = np.where(is_head, self.head_c[place], 0) if len(self.head_c) else np.zeros(len(distinct))
+        base = np.where(is_head, np.log10((exact + 1) / self.total), 0.0)[back]
+        known = is_head[back]
+        starts = float(counts(_mixed(np.array([END], dtype=_U)))[0])
+        rough = counts(distinct)[back]
+        context = np.r_[starts, rough[:-1]]
+        context[at[:-1]] = starts
+        pair = np.minimum(counts(_pairs(_before(tokens, at), tokens)), context)
+        score = np.log10((pair + MU * (rough + 1) / self.total) / (context + MU))
+        sums = [np.add.reduceat(x, at[:-1]) for x in (base, score)]
+        tail = np.flatnonzero(~known)
+        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(tail, at), pa.int32()), pa.array(grams[tail].view(np.int64)))
+        return [pa.array(np.diff(at)), pa.array(np.add.reduceat(known.astype(np.int64), at[:-1])), pa.array(sums[0]), pa.array(sums[1]), lists]
+
+
+def _score_by_broadcast(source: DataFrame, segments: DataFrame, buckets: int, scorer: _Scorer, schema: str) -> DataFrame:
+    """source (doc_id, held_out, text) scored by workers that hold the whole filter."""
+    model = LogFrequencyFilter(segments.toArrow(), buckets)
+    shared = source.sparkSession.sparkContext.broadcast((model, scorer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, scorer = shared.value
+        cache = _WordHash()
+        for part in _chunks(batches, "text", SCORE_TOKENS):
+            made = scorer(*_tokens(part.column("text").to_pylist(), cache), model.counts)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), *made], ["doc_id", "held_out", *scorer.COLUMNS])
+
+    return source.mapInArrow(run, schema)
+
+
+def _distinct_grams(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([_mixed(tokens), _pairs(_before(tokens, at), tokens)]))
+
+
+def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scorer: _Scorer, schema: str) -> DataFrame:
+    """source (doc_id, held_out, text) scored with levels that each chunk gets from the segments of its n-grams.
+
+    A chunk's own row holds its ids and its tokens as numbers of its distinct words; it passes the segments unread, under a negative bucket.
+    """
+    shared = source.sparkSession.sparkContext.broadcast(scorer)
+    shift = _U(65 - buckets.bit_length())
+    cuts = lambda grams: np.searchsorted((grams >> shift).astype(np.int64), np.arange(buckets + 1))
+    fields = [pa.field("chunk", pa.int64()), pa.field("bucket", pa.int64()), pa.field("data", pa.binary())]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, task = _WordHash(), TaskContext.get().partitionId()
+        for k, part in enumerate(_chunks(batches, "text", CHUNK_TOKENS)):
+            tokens, at = _tokens(part.column("text").to_pylist(), cache)
+            chunk = xxhash.xxh64_intdigest(np.array([task, k], dtype="<i8").tobytes() + tokens.tobytes()) >> 1
+            words, back = np.unique(tokens, return_inverse=True)
+            rows = pa.table([part.column("doc_id"), part.column("held_out"), pa.array(np.diff(at))], ["doc_id", "held_out", "n"])
+            side = pa.BufferOutputStream()
+            with pa.ipc.new_stream(side, rows.schema) as out:
+                out.write_table(rows)
+            ids = side.getvalue().to_pybytes()
+            raw = np.array([len(ids), len(words)], dtype="<i8").tobytes() + ids + words.tobytes() + back.astype("<i4").tobytes()
+            keys, blobs = [-1 - chunk % buckets], [np.array([len(raw)], dtype="<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)]
+            grams = _distinct_grams(tokens, at)
+            low, cut = grams.view(np.uint8).reshape(-1, 8)[:, :7], cuts(grams)
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                keys.append(b)
+                blobs.append(low[cut[b] : cut[b + 1]].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], schema=pa.schema(fields))
+
+    def answer(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        if bucket < 0:
+            return rows
+        held = rows.filter(pc.is_null(rows["chunk"]))
+        asked = rows.filter(pc.is_valid(rows["chunk"]))
+        model = LogFrequencyFilter(pa.table([held["bucket"], held["data"]], ["segment", "data"]), buckets)
+        levels = []
+        for data in asked["data"]:
+            low = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(-1, 7)
+            full = np.zeros((len(low), 8), dtype=np.uint8)
+            full[:, :7] = low
+            top = _U(bucket << int(shift) >> 56 << 56)
+            levels.append(model.levels(full.reshape(-1).view(_U) | top).astype(np.uint8).tobytes())
+        return pa.table([asked["chunk"], asked["bucket"], pa.array(levels, pa.binary())], schema=pa.schema(fields))
+
+    def finish(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("bucket")
+        side = rows["data"][0].as_buffer()
+        raw = pa.decompress(side[8:], int(np.frombuffer(side, dtype="<i8", count=1)[0]), codec="zstd")
+        n_ids, n_words = np.frombuffer(raw, dtype="<i8", count=2).tolist()
+        ids = pa.ipc.open_stream(raw[16 : 16 + n_ids]).read_all()
+        words = np.frombuffer(raw[16 + n_ids :], dtype=_U, count=n_words)
+        tokens = words[np.frombuffer(raw[16 + n_ids + 8 * n_words :], dtype="<i4")]
+        at = np.r_[0, np.cumsum(ids["n"].to_numpy())]
+        grams = _distinct_grams(tokens, at)
+        counts = estimated(np.frombuffer(b"".join(x.as_py() for x in rows["data"][1:]), dtype=np.uint8).astype(np.int64))
+        made = shared.value(tokens, at, lambda asked: counts[np.searchsorted(grams, asked)])
+        return pa.table([ids["doc_id"], ids["held_out"], *made], ["doc_id", "held_out", *_Scorer.COLUMNS])
+
+    sent = source.mapInArrow(send, "chunk long, bucket long, data binary")
+    held = segments.select(F.lit(None).cast("long").alias("chunk"), F.col("segment").cast("long").alias("bucket"), "data")
+    answers = sent.union(held).groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, data binary")
+    return answers.groupBy("chunk").applyInArrow(finish, schema)
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs."""
-    spark = docs.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"))
     table, buckets = count_ngrams(docs.where("not held_out"))
     words = table.where("kind = 0").select("h", "c")
     train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
     head_h, head_c, limit = frequent_words(words)
-    model = LogFrequencyFilter(table.where("kind = 1").select("segment", "data").toArrow(), buckets)
-    shared = spark.sparkContext.broadcast((model, head_h, head_c))
     total = train_tokens + distinct + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, head_h, head_c = shared.value
-        cache = _WordHash()
-        starts = float(model.counts(_mixed(np.array([END], dtype=_U)))[0])
-        for part in _chunks(batches, "text", SCORE_TOKENS):
-            tokens, at = _tokens(part.column("text").to_pylist(), cache)
-            grams = _mixed(tokens)
-            distinct_grams, back = np.unique(grams, return_inverse=True)
-            place = np.minimum(np.searchsorted(head_h, distinct_grams), max(0, len(head_h) - 1))
-            is_head = head_h[place] == distinct_grams if len(head_h) else np.zeros(len(distinct_grams), dtype=bool)
-            exact = np.where(is_head, head_c[place], 0) if len(head_c) else np.zeros(len(distinct_grams))
-            base = np.where(is_head, np.log10((exact + 1) / total), 0.0)[back]
-            known = is_head[back]
-            rough = model.counts(distinct_grams)[back]
-            context = np.r_[starts, rough[:-1]]
-            context[at[:-1]] = starts
-            pair = np.minimum(model.counts(_pairs(_before(tokens, at), tokens)), context)
-            score = np.log10((pair + MU * (rough + 1) / total) / (context + MU))
-            sums = [np.add.reduceat(x, at[:-1]) for x in (base, score)]
-            tail = np.flatnonzero(~known)
-            cuts = np.searchsorted(tail, at)
-            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(grams[tail].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(np.diff(at)), pa.array(np.add.reduceat(known.astype(np.int64), at[:-1])), pa.array(sums[0]), pa.array(sums[1]), lists],
-                ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
-            )
-
-    source = docs.withColumn("text", F.col("text").cast("binary"))
+    segments = table.where("kind = 1").select("segment", "data")
+    filter_bytes = int(segments.agg(F.sum(F.octet_length("data"))).first()[0] or 0)
+    source = docs.select("doc_id", "held_out", F.col("text").cast("binary").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = source.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, tail array<long>")
+    way = _score_by_broadcast if filter_bytes <= MOST_BROADCAST else _score_by_shuffle
+    scored = way(source, segments, buckets, _Scorer(head_h, head_c, total), f"doc_id {kind}, held_out boolean, {_Scorer.SCHEMA}")
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("tail").alias("h")).join(words.where(F.floor(F.log2("c") * 4) < limit) if limit != float("inf") else words, "h", "left")
     count = F.coalesce("c", F.lit(0))
