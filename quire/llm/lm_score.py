@@ -7,7 +7,8 @@ Counting: a task counts words and word pairs in chunks of about a million tokens
 hash bucket, one binary row of hashes and counts. A bucket adds them up; it returns the exact word
 counts and, for pairs and words, its segment of the filter. A count c has the level q = 1 + floor(log2 c), and the filter holds
 the events (n-gram, 1) to (n-gram, q), so that probing until the first miss gives q back, too high
-only by false positives. A segment has 8 bits for an event and 3 hash functions, whatever the size of the corpus: the filter
+only by false positives. In its segment an n-gram is known by 32 bits of its hash: with n of them in a segment, a probe meets another's
+bits with probability n / 2^32, far below the filter's own false positives. A segment has 8 bits for an event and 3 hash functions, whatever the size of the corpus: the filter
 holds every n-gram and grows with them.
 
 Probing: a filter of at most MOST_BROADCAST bytes, which is checked, is broadcast to the workers. A larger one stays where it
@@ -131,21 +132,26 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1]
 
 
-def _probe_bits(grams: np.ndarray, level: int | np.ndarray, bits: np.ndarray | int) -> Iterator[np.ndarray]:
-    """The PROBES bit numbers of the events (gram, level) within segments of so many bits."""
-    event = _mixed(grams + np.asarray(level, dtype=_U) * _U(0xD1B54A32D192ED03))
+def _keys(grams: np.ndarray, shift: int) -> np.ndarray:
+    """The 32 bits below those that choose the segment, by which a segment knows an n-gram."""
+    return (grams << _U(64 - shift)) >> _U(32)
+
+
+def _probe_bits(keys: np.ndarray, level: int | np.ndarray, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+    """The PROBES bit numbers of the events (key, level) within segments of so many bits."""
+    event = _mixed(keys + np.asarray(level, dtype=_U) * _U(0xD1B54A32D192ED03))
     step = (event >> _U(32)) | _U(1)
     for k in range(PROBES):
         yield (event + _U(k) * step) % np.asarray(bits, dtype=_U)
 
 
-def _segment(grams: np.ndarray, counts: np.ndarray) -> bytes:
-    """The bits of a segment that holds the events of these n-grams."""
+def _segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """The bits of a segment that holds the events of n-grams with these keys."""
     level = _levels(counts)
     size = max(64, BITS_PER_EVENT * int(level.sum()) // 64 * 64)
     held = np.zeros(size, dtype=bool)
     for q in range(1, int(level.max(initial=0)) + 1):
-        for at in _probe_bits(grams[level >= q], q, size):
+        for at in _probe_bits(keys[level >= q], q, size):
             held[at.astype(np.int64)] = True
     return np.packbits(held, bitorder="little").tobytes()
 
@@ -167,12 +173,13 @@ class LogFrequencyFilter:
         """The levels found by probing until the first miss, 0 if there is none."""
         level = np.zeros(len(grams), dtype=np.int64)
         segment = (grams >> self.shift).astype(np.int64)
+        keys = _keys(grams, int(self.shift))
         live = np.flatnonzero(self.size[segment])
         q = 1
         while len(live):
             begin, size = self.begin[segment[live]], self.size[segment[live]]
             hit = np.ones(len(live), dtype=bool)
-            for at in _probe_bits(grams[live], q, size):
+            for at in _probe_bits(keys[live], q, size):
                 at = at.astype(np.int64) + begin
                 hit &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             live = live[hit]
@@ -210,7 +217,7 @@ def count_ngrams(train: DataFrame) -> tuple[DataFrame, int]:
                 grams.append(_added(chosen, bucket, buckets))
                 if order == 0:
                     out.append(pd.DataFrame({"kind": 0, "h": grams[0][0].view(np.int64), "c": grams[0][1], "segment": 0, "data": None}))
-        held = _segment(np.concatenate([g for g, _ in grams]), np.concatenate([c for _, c in grams]))
+        held = _segment(_keys(np.concatenate([g for g, _ in grams]), 65 - buckets.bit_length()), np.concatenate([c for _, c in grams]))
         out.append(pd.DataFrame({"kind": [1], "h": [0], "c": [0], "segment": [bucket], "data": [held]}))
         return pd.concat(out)
 
@@ -286,11 +293,11 @@ def _distinct_grams(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scorer: _Scorer, schema: str) -> DataFrame:
     """source (doc_id, held_out, text) scored with levels that each chunk gets from the segments of its n-grams.
 
-    A chunk's own row holds its ids and its tokens as numbers of its distinct words; it passes the segments unread, under a negative bucket.
+    A chunk's own row holds its ids and its tokens as numbers of its distinct words, frequent ones first, in planes of bytes; it passes the segments unread, under a negative bucket.
     """
     shared = source.sparkSession.sparkContext.broadcast(scorer)
-    shift = _U(65 - buckets.bit_length())
-    cuts = lambda grams: np.searchsorted((grams >> shift).astype(np.int64), np.arange(buckets + 1))
+    shift = 65 - buckets.bit_length()
+    cuts = lambda grams: np.searchsorted((grams >> _U(shift)).astype(np.int64), np.arange(buckets + 1))
     fields = [pa.field("chunk", pa.int64()), pa.field("bucket", pa.int64()), pa.field("data", pa.binary())]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,16 +305,20 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
         for k, part in enumerate(_chunks(batches, "text", CHUNK_TOKENS)):
             tokens, at = _tokens(part.column("text").to_pylist(), cache)
             chunk = xxhash.xxh64_intdigest(np.array([task, k], dtype="<i8").tobytes() + tokens.tobytes()) >> 1
-            words, back = np.unique(tokens, return_inverse=True)
+            words, back, times = np.unique(tokens, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")
+            number = np.empty(len(words), dtype="<u4")
+            number[order] = np.arange(len(words))
+            planes = number[back].view(np.uint8).reshape(-1, 4).T
             rows = pa.table([part.column("doc_id"), part.column("held_out"), pa.array(np.diff(at))], ["doc_id", "held_out", "n"])
             side = pa.BufferOutputStream()
             with pa.ipc.new_stream(side, rows.schema) as out:
                 out.write_table(rows)
             ids = side.getvalue().to_pybytes()
-            raw = np.array([len(ids), len(words)], dtype="<i8").tobytes() + ids + words.tobytes() + back.astype("<i4").tobytes()
+            raw = np.array([len(ids), len(words)], dtype="<i8").tobytes() + ids + words[order].tobytes() + planes.tobytes()
             keys, blobs = [-1 - chunk % buckets], [np.array([len(raw)], dtype="<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)]
             grams = _distinct_grams(tokens, at)
-            low, cut = grams.view(np.uint8).reshape(-1, 8)[:, :7], cuts(grams)
+            low, cut = _keys(grams, shift).astype("<u4"), cuts(grams)
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 keys.append(b)
                 blobs.append(low[cut[b] : cut[b + 1]].tobytes())
@@ -322,11 +333,8 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
         model = LogFrequencyFilter(pa.table([held["bucket"], held["data"]], ["segment", "data"]), buckets)
         levels = []
         for data in asked["data"]:
-            low = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(-1, 7)
-            full = np.zeros((len(low), 8), dtype=np.uint8)
-            full[:, :7] = low
-            top = _U(bucket << int(shift) >> 56 << 56)
-            levels.append(model.levels(full.reshape(-1).view(_U) | top).astype(np.uint8).tobytes())
+            low = np.frombuffer(data.as_buffer(), dtype="<u4").astype(_U) << _U(shift - 32)
+            levels.append(model.levels(low | _U(bucket << shift)).astype(np.uint8).tobytes())
         return pa.table([asked["chunk"], asked["bucket"], pa.array(levels, pa.binary())], schema=pa.schema(fields))
 
     def finish(rows: pa.Table) -> pa.Table:
@@ -336,7 +344,8 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
         n_ids, n_words = np.frombuffer(raw, dtype="<i8", count=2).tolist()
         ids = pa.ipc.open_stream(raw[16 : 16 + n_ids]).read_all()
         words = np.frombuffer(raw[16 + n_ids :], dtype=_U, count=n_words)
-        tokens = words[np.frombuffer(raw[16 + n_ids + 8 * n_words :], dtype="<i4")]
+        planes = np.frombuffer(raw[16 + n_ids + 8 * n_words :], dtype=np.uint8).reshape(4, -1)
+        tokens = words[np.ascontiguousarray(planes.T).view("<u4").ravel()]
         at = np.r_[0, np.cumsum(ids["n"].to_numpy())]
         grams = _distinct_grams(tokens, at)
         counts = estimated(np.frombuffer(b"".join(x.as_py() for x in rows["data"][1:]), dtype=np.uint8).astype(np.int64))

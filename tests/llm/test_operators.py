@@ -368,7 +368,7 @@ def test_filter_levels():
     rng = np.random.default_rng(4)
     grams = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))
     counts = rng.geometric(0.3, len(grams)) ** 2
-    data = lm_score._segment(grams, counts)
+    data = lm_score._segment(lm_score._keys(grams, 63), counts)
     held = lm_score.LogFrequencyFilter(pa.table({"segment": pa.array([0]), "data": pa.array([data], pa.binary())}), 1)
     held.shift = np.uint64(63)
     found = held.counts(grams)
