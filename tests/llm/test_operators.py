@@ -149,6 +149,20 @@ def test_packing_of_awkward_rows(awkward):
     assert packing.pack(awkward.where("false")).count() == 0
 
 
+def test_packing_of_the_added_token(spark):
+    """Texts with the literal of the added token, against the tokenizers file with its defaults."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", " <|endoftext|>", "<|endoftext| > <|ENDOFTEXT|> it's 12  ok", "no literal  here \n"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    assert {r.doc_id: list(r.ids) for r in rows} == want
+    assert all(r.length == len(want[r.doc_id]) and r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id], dtype="<u4").tobytes()) for r in rows)
+
+
 def test_instances_and_islands(spark):
     rng = np.random.default_rng(2)
     counts = collections.Counter(rng.integers(9, 45, 6000).tolist())
