@@ -78,6 +78,10 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text"))
+
+
 def _block(fp: Column, k: int) -> Column:
     return F.shiftrightunsigned(fp, sum(BLOCKS[:k])).bitwiseAND(F.lit((1 << BLOCKS[k]) - 1).cast("long"))
 
@@ -91,16 +95,16 @@ def _keys(fp: Column, probes: bool) -> Column:
     return F.array(*out)
 
 
-def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
-    """(doc_id, item_id, similarity, first_shingle): each document and each item that it contains, with the best window."""
+def _matches(docs: DataFrame, benchmark: DataFrame, similarity: float, width: int) -> DataFrame:
+    """(doc_id, text_hash, item_id, start, similarity): every window of a row of docs that is as similar to an item as asked."""
     item = with_shingles(benchmark.select("item_id", "text"), "text", "item", width)
     item = item.select("item_id", "item", F.size("item").alias("n"))
     shared = item.select("n", F.explode_outer("item").alias("h")).distinct().where("h is not null")
     shared = guarded_broadcast(shared, MOST_INDEX_ROWS)
-    text = with_shingles(docs.select("doc_id", "text"), "text", "hs", width)
-    at = text.select("doc_id", "hs", F.posexplode_outer("hs").alias("pos", "h"))
+    text = with_shingles(docs.select("doc_id", _text_hash().alias("text_hash"), "text"), "text", "hs", width)
+    at = text.select("doc_id", "text_hash", "hs", F.posexplode_outer("hs").alias("pos", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("pos"), F.size("hs") - F.col("n")))
-    windows = at.join(shared, "h").select("doc_id", "n", start.alias("start"), F.slice("hs", start + 1, F.col("n")).alias("window"))
+    windows = at.join(shared, "h").select("doc_id", "text_hash", "n", start.alias("start"), F.slice("hs", start + 1, F.col("n")).alias("window"))
     windows = with_simhash(windows, "window", "fp")
     keyed = windows.select("*", F.explode_outer(_keys(F.col("fp"), False)).alias("key")).select("*", "key.block", "key.value").drop("key")
     index = with_simhash(item, "item", "item_fp")
@@ -113,12 +117,19 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, similarity: float
         for e in earlier[1:]:
             hit |= e
         near = near.where((F.col("block") != k) | ~hit)
-    exact = near.select("doc_id", "item_id", "start", weighted_similarity(F.col("window"), F.col("item")).alias("similarity")).where(F.col("similarity") >= similarity)
-    best = exact.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"))).alias("best"))
+    return near.select("doc_id", "text_hash", "item_id", "start", weighted_similarity(F.col("window"), F.col("item")).alias("similarity")).where(F.col("similarity") >= similarity)
+
+
+def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
+    """(doc_id, item_id, similarity, first_shingle): each document and each item that it contains, with the best window."""
+    best = _matches(docs, benchmark, similarity, width).groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"))).alias("best"))
     return best.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.before")).cast("long").alias("first_shingle"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs, with their columns, that contain no item. A null doc_id is compared like any other value."""
-    found = contaminated_pairs(docs, benchmark, similarity).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+    """The rows of docs, with their columns, that contain no item.
+
+    Each row is judged on its own text, known by doc_id and the text's hash; doc_id may be null or repeated.
+    """
+    found = _matches(docs, benchmark, similarity, WIDTH).select(F.col("doc_id").alias("__found"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")) & (_text_hash() == F.col("__hash")), "left_anti")

@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import materialize
@@ -58,16 +58,22 @@ def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * set_bits > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and the fingerprint as a signed long, one row for each row of docs."""
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text"))
+
+
+def fingerprints(docs: DataFrame, width: int = 4, hashed: bool = False) -> DataFrame:
+    """doc_id, the text's hash if wanted, and the fingerprint as a signed long, one row for each row of docs."""
+    names = ["doc_id", *["text_hash"] * hashed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x, width) for x in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], pa.array(found.view(np.int64))], [*names, "fp"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    text_hash = [_text_hash().alias("text_hash")] * hashed
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_hash, F.col("text").cast("binary").alias("text"))
+    return source.mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "fp"]))
 
 
 @cache
@@ -198,36 +204,42 @@ def links(visits: DataFrame, distance: int) -> DataFrame:
     return visits.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> DataFrame:
-    """doc_id, fp (signed long) and component_id for each row of docs (doc_id, text).
-
-    component_id is the least doc_id that can be reached over links of at most `distance`
-    differing bits, at most 4. See the module's text for nulls and edges.
-    """
+def _components(fps: DataFrame, distance: int) -> DataFrame:
+    """fp, component_id and the component's root fingerprint for each fingerprint of fps (doc_id, fp)."""
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError("the covering is built for distances from 0 to 4")
-    fps = materialize(fingerprints(docs, width))
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     # Each row becomes about 172: a fixed number of partitions keeps adaptive execution from merging them by their size before
     # that. Dealt by another expression than the aggregation, as Catalyst drops a repartition by the same key.
-    spread = nodes.select("fp").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
+    spread = nodes.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     parts = connected_components(links(replicate(spread), distance))
     known = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
     roots = known.where("root is not null").groupBy("root").agg(F.min("least").alias("of_root"))
-    known = known.join(roots, "root", "left").select("fp", F.coalesce("of_root", "least").alias("component_id"))
-    return fps.join(known, "fp").select("doc_id", "fp", "component_id")
+    return known.join(roots, "root", "left").select("fp", F.coalesce("of_root", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_components(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> DataFrame:
+    """doc_id, fp (signed long) and component_id for each row of docs (doc_id, text).
+
+    component_id is the least doc_id that can be reached over links of at most `distance`
+    differing bits, at most 4. See the module's text for nulls and edges.
+    """
+    fps = materialize(fingerprints(docs, width))
+    return fps.join(_components(fps, distance), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its component: one document of each group.
+    """One row of docs for each component, the one with the least doc_id.
 
-    Rows of one doc_id are one document, of which the row with the least text stays; rows
-    without a doc_id cannot be named and stay.
+    Each row is judged on its own text, known by doc_id and the text's hash: rows of one doc_id
+    with unlike texts are in components of their own. Of the rows of a component that share its
+    least doc_id the row with the least text stays; rows without a doc_id cannot be named and stay.
     """
-    found = simhash_components(docs, width, distance)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    text = docs.where(F.col("doc_id").isNotNull()).join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
+    fps = materialize(fingerprints(docs, width, hashed=True))
+    found = fps.join(_components(fps, distance), "fp").where("doc_id = component_id")
+    stay = found.select(F.col("doc_id").alias("__stay"), F.col("text_hash").alias("__hash"), F.col("root").alias("__root")).distinct()
+    text = docs.where(F.col("doc_id").isNotNull()).join(stay, (F.col("doc_id") == F.col("__stay")) & (_text_hash() == F.col("__hash")))
     rest = [c for c in docs.columns if c != "doc_id"]
-    one = text.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("__row"))
+    one = text.groupBy("doc_id", "__root").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("__row"))
     one = one.select("doc_id", *[F.col(f"__row.`{c}`").alias(c) for c in rest]).select(*docs.columns)
     return one.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -82,6 +82,12 @@ def test_simhash_on_awkward_rows(spark, awkward):
     assert simhash_dedup.keep_one(awkward).columns == awkward.columns
 
 
+def test_rows_of_one_id_with_unlike_texts_stay(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(1, one), (1, two), (1, two), (2, two), (3, one), (4, "c " + one[::-1]), (4, one)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash_dedup.keep_one(docs).collect()) == [(1, one), (1, two), (4, "c " + one[::-1])]
+
+
 def test_covering_finds_every_pair():
     rng = np.random.default_rng(5)
     centres = rng.integers(0, 2**63, 60, dtype=np.uint64)
@@ -239,6 +245,14 @@ def test_decontamination(spark):
     assert decontaminate.contaminated_pairs(df.where("false"), bench).count() == 0 == decontaminate.contaminated_pairs(df, bench.where("false")).count()
 
 
+def test_decontamination_judges_each_row(spark):
+    item = " ".join(f"alpha{i} beta{i}" for i in range(20))
+    docs = [(None, item), (None, "a clean text"), (None, None), (1, f"x {item}"), (1, "another clean text"), (2, item)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = decontaminate.remove_contaminated(df, spark.createDataFrame([(10, item)], "item_id long, text string"))
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, "a clean text"), (None, None), (1, "another clean text")}
+
+
 # 5
 
 
