@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 from itertools import pairwise
@@ -126,7 +127,6 @@ def check_packing(docs):
     import public_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = collections.Counter()
     for doc_id, text in [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -150,8 +150,9 @@ def test_packing_round_trip(documents):
     assert used <= bound + 1
 
 
-def test_packing_of_awkward_rows(awkward):
-    check_packing(awkward)
+def test_packing_of_awkward_rows(spark, awkward):
+    literals = spark.createDataFrame([(20, "hello <|endoftext|> world"), (21, "<|endoftext|>" * 3000), (None, "x<|endoftext|>")], "doc_id long, text string")
+    check_packing(awkward.select("doc_id", "text").union(literals))
     assert packing.pack(awkward.where("false")).count() == 0
 
 
@@ -184,6 +185,43 @@ def test_instances_and_islands(spark):
     assert max(fill.values()) <= 64
 
 
+def test_the_genetic_algorithm_beats_best_fit(spark):
+    """Triplets that fill a bin exactly, and even sizes: best-fit alone needs many more bins."""
+    rng = random.Random(3)
+    triplets = []
+    for _ in range(500):
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (1000 - a) // 2)
+        triplets += [a, b, 1000 - a - b]
+    even = [rng.randint(350, 700) for _ in range(3000)]
+    for sizes, capacity, at_most in ((triplets, 1000, 1.03), (even, 2048, 1.01)):
+        alone, bound = len(packing.best_fit(sizes, capacity)), packing.lower_bound(sizes, capacity)
+        found = packing.solve(spark, sizes, capacity)
+        assert sorted(i for b in found for i in b) == list(range(len(sizes))) and max(sum(sizes[i] for i in b) for b in found) <= capacity
+        assert bound <= len(found) <= bound * at_most < alone / 1.03
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_lower_bound(seed):
+    """Never above the least number of bins, by trying every packing of few pieces."""
+    rng = random.Random(seed)
+    sizes = [rng.randint(1, 12) for _ in range(7)]
+
+    def least(rest, rooms):
+        if not rest:
+            return len(rooms)
+        size, *rest = rest
+        tried = [least(rest, [*rooms[:k], r - size, *rooms[k + 1 :]]) for k, r in enumerate(rooms) if r >= size]
+        return min([*tried, least(rest, [*rooms, 12 - size])])
+
+    assert packing.lower_bound(sizes, 12) <= least(sizes, []) <= len(packing.best_fit(sizes, 12))
+
+
+def test_pieces_that_fill_no_bin(spark):
+    ranges, _, sequences = packing.plan(spark, {40: 5000}, capacity=64, instance=200)
+    assert sequences == 5000 and max(r[2] for r in ranges) == 5000
+
+
 def test_crossover_keeps_every_piece():
     sizes = [5, 4, 3, 3, 2, 2, 1]
     a, b = packing.best_fit(sizes, 6), packing.best_fit(sizes, 6, list(range(7)))
