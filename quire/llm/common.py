@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The characters that separate words, for Java's regular expressions.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -58,9 +59,51 @@ def is_small(df: DataFrame, most_rows: int) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
 
 
-def guarded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
-    """A broadcast hint where the row count is checked to be within the bound, else df as it is.
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with a number after those that df has already; column names are compared as Spark does, without case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        tried, k = name, 0
+        while tried.lower() in taken:
+            k += 1
+            tried = f"{name}_{k}"
+        taken.add(tried.lower())
+        out.append(tried)
+    return out
 
-    Beyond the bound the join falls back to a shuffle that adaptive execution can split.
+
+def columns_of(df: DataFrame, skip: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of df by their exact names, dots included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in skip]
+
+
+def _bytes_of(name: str, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in memory."""
+    at = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(at), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(at))) if isinstance(kind.elementType, T.StructType | T.ArrayType | T.StringType) else F.size(at) * 8, F.lit(0)).cast("long") + 16
+    return F.lit(8).cast("long")
+
+
+#: A table of more bytes than this isn't broadcast.
+MOST_BROADCAST = 64 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of df take in memory."""
+    each = F.lit(32).cast("long")
+    for field in df.schema.fields:
+        each = each + _bytes_of(field.name, field.dataType)
+    return int(df.agg(F.coalesce(F.sum(each), F.lit(0))).first()[0])
+
+
+def guarded_broadcast(df: DataFrame, most_bytes: int | None = None) -> DataFrame:
+    """A broadcast hint where the bytes are checked to be within the bound, else df as it is.
+
+    Reads df once to tell, so df should be a written table or small to make. Beyond the bound the
+    join falls back to a shuffle that adaptive execution can split.
     """
-    return F.broadcast(df) if is_small(df, most_rows) else df
+    return F.broadcast(df) if table_bytes(df) <= (MOST_BROADCAST if most_bytes is None else most_bytes) else df

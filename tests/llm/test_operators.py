@@ -291,6 +291,46 @@ def test_decontamination_judges_each_row(spark):
     assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, "a clean text"), (None, None), (1, "another clean text")}
 
 
+def slow_windows(doc, item, width=5):
+    """Best similarity and its first begin over all windows of the item's size that begin at one of its shingles or are the last."""
+    made = lambda t: [tuple(t[i : i + width]) for i in range(max(1, len(t) - width + 1))] if t else []
+    a, b = made(WORD.findall(lower(doc))), made(WORD.findall(lower(item)))
+    want, n, last = collections.Counter(b), len(b), max(0, len(a) - len(b))
+    best = (0.0, 0)
+    for s in range(last + 1):
+        if s == 0:
+            have = collections.Counter(a[:n])
+            shared = sum((have & want).values())
+        else:
+            gone, come = a[s - 1], a[s - 1 + n]
+            shared -= have[gone] <= want[gone]
+            have[gone] -= 1
+            have[come] += 1
+            shared += have[come] <= want[come]
+        if s == last or a[s] in want:
+            best = max(best, (shared / (min(n, len(a)) + n - shared), -s))
+    return best[0], -best[1]
+
+
+def test_decontamination_of_long_items(spark):
+    """Items from one shingle to 30,000 words, with repeated words, in documents shorter and longer than they are."""
+    rng = random.Random(8)
+    said = lambda n, k: [f"v{rng.randrange(k)}" for _ in range(n)]
+    items = [said(30_000, 9000), said(3000, 12), said(400, 300), ["same"] * 300, said(60, 40), said(5, 5), said(3, 3)]
+    docs = []
+    for item in items:
+        edited = [w if rng.random() > 0.01 else "edit" for w in item]
+        docs += [item, said(50, 99) + edited + said(2000, 99), item[: len(item) * 9 // 10], item[: len(item) // 2], said(7, 9) + item + item + said(9, 9)]
+    docs = [" ".join(d) for d in docs]
+    items = [" ".join(x) for x in items]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = decontaminate.contaminated_pairs(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    want = {(d, i): slow_windows(doc, item) for d, doc in enumerate(docs) for i, item in enumerate(items) if set(item.split()) & set(doc.split())}
+    want = {k: v for k, v in want.items() if v[0] >= 0.8}
+    assert len(want) > 20
+    assert {(r.doc_id, r.item_id): (r.similarity, r.first_shingle) for r in found} == want
+
+
 # 5
 
 
