@@ -73,14 +73,18 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def columns_of(df: DataFrame, skip: tuple[str, ...] = ()) -> list[Column]:
-    """The columns of df by their exact names, dots included."""
-    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in skip]
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [named(c) for c in df.columns]
 
 
 def _bytes_of(name: str, kind: T.DataType) -> Column:
     """About how many bytes a value takes in memory."""
-    at = F.col(f"`{name}`")
+    at = named(name)
     if isinstance(kind, T.StringType | T.BinaryType):
         return F.coalesce(F.octet_length(at), F.lit(0)).cast("long") + 16
     if isinstance(kind, T.ArrayType):

@@ -26,15 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quire.llm.common import guarded_broadcast, materialize
+from quire.llm.common import columns_of, free_names, guarded_broadcast, materialize, named
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SPREAD = 3.0
 #: What the interquartile range counts at least, in thousandths.
 FLOORS = {"symbols": 30, "repeats": 100, "lines": 170, "length": 500}
 BINS = 4096
-#: More groups than this are joined by a shuffle.
-MOST_GROUPS = 100_000
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 _SYMBOLS = b"#*$%&|<>"
 #: The bytes of UTF-8 that don't begin a code point.
@@ -80,8 +78,9 @@ def _ranked(ids: np.ndarray) -> np.ndarray:
 
 def measured(docs: DataFrame, names: dict[str, str], keep: list[str]) -> DataFrame:
     """The columns `keep` of docs and the METRICS under the given names, from whole texts."""
-    fields = [docs.schema[c] for c in keep]
-    schema = T.StructType([*fields, *[T.StructField(names[m], T.LongType()) for m in METRICS]])
+    plain = [*[f"c{k}" for k in range(len(keep))], *METRICS]  # Arrow functions take no names with dots or backticks
+    fields = [T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep, strict=False)]
+    schema = T.StructType([*fields, *[T.StructField(m, T.LongType()) for m in METRICS]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +88,10 @@ def measured(docs: DataFrame, names: dict[str, str], keep: list[str]) -> DataFra
                 part = batch.slice(at, 512)
                 found = np.array([measure(x) for x in part.column(part.num_columns - 1).to_pylist()], dtype=np.int64).reshape(-1, len(METRICS))
                 made = [pa.array(found[:, k]) for k in range(len(METRICS))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*keep, *[names[m] for m in METRICS]])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], plain)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("binary").alias("__text")).mapInArrow(run, schema)
+    rows = docs.select(*[named(c).alias(p) for p, c in zip(plain, keep, strict=False)], F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, schema).toDF(*keep, *[names[m] for m in METRICS])
 
 
 def _ratios(n: dict[str, str]) -> dict[str, F.Column]:
@@ -124,17 +124,17 @@ def _base_failed(n: dict[str, str]) -> F.Column:
     return F.expr(f"{n['n_words']} < {MIN_WORDS} or 100 * {n['n_repeat_words']} > {MAX_REPEAT_PERCENT} * {n['n_words']}")
 
 
-def judged(rows: DataFrame, limits: DataFrame, names: dict[str, str], lang: str, source: str) -> DataFrame:
-    """rows with __base_failed and __kept; lang and source name the group columns of rows."""
-    limits = limits.withColumnsRenamed({c: f"__{c}" for c in limits.columns})
-    limits = guarded_broadcast(limits, MOST_GROUPS)
-    out = rows.join(limits, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
+def judged(rows: DataFrame, limits: DataFrame, names: dict[str, str], lang: str, source: str, failed: str, kept: str) -> DataFrame:
+    """rows with the columns `failed` and `kept`; lang and source name the group columns of rows."""
+    own = dict(zip(limits.columns, free_names(rows, *limits.columns), strict=True))
+    limits = guarded_broadcast(limits.withColumnsRenamed(own))
+    out = rows.join(limits, F.col(lang).eqNullSafe(F.col(own["lang"])) & F.col(source).eqNullSafe(F.col(own["source"])), "left")
     ratios = _ratios(names)
-    fine = F.col("__least_length") <= ratios["length"]
+    fine = F.col(own["least_length"]) <= ratios["length"]
     for k, v in ratios.items():
-        fine &= v <= F.col(f"__most_{k}")
-    failed = _base_failed(names)
-    return out.withColumns({"__base_failed": failed, "__kept": ~failed & F.coalesce(fine, F.lit(True))})
+        fine &= v <= F.col(own[f"most_{k}"])
+    base = _base_failed(names)
+    return out.withColumns({failed: base, kept: ~base & F.coalesce(fine, F.lit(True))})
 
 
 def quality_verdicts(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
@@ -142,14 +142,15 @@ def quality_verdicts(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     names = {m: m for m in METRICS}
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     rows = materialize(measured(docs, names, ["doc_id", "lang", "source"]))
-    out = judged(rows, thresholds(sketches(rows), spread), names, "lang", "source")
-    return out.select("doc_id", "lang", "source", *METRICS, F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
+    out = judged(rows, materialize(thresholds(sketches(rows), spread)), names, "lang", "source", "base_failed", "kept")
+    return out.select("doc_id", "lang", "source", *METRICS, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     """The rows of docs that pass, with the columns of docs. Texts are measured twice and never shuffled."""
     thin = docs.select(F.col("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     limits = materialize(thresholds(sketches(measured(thin, {m: m for m in METRICS}, ["lang", "source"])), spread))
-    names = {m: f"__{m}" for m in METRICS}
-    out = judged(measured(docs, names, docs.columns), limits, names, "lang", "source")
-    return out.where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    *own, failed, kept = free_names(docs, *METRICS, "base_failed", "kept")
+    names = dict(zip(METRICS, own, strict=True))
+    out = judged(measured(docs, names, docs.columns), limits, names, "lang", "source", failed, kept)
+    return out.where(F.col(kept)).select(*columns_of(docs))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import guarded_broadcast, materialize
+from quire.llm.common import columns_of, free_names, guarded_broadcast, materialize
 
 #: kind, pattern, group whose length counts, least length. A longer least length inside the braces
 #: finds the same runs as "+" and a check afterwards, as runs of one class don't overlap.
@@ -45,26 +45,42 @@ KINDS = [*[p[0] for p in PATTERNS], "random"]
 ENCODINGS = (("hex", "^([0-9a-f]+|[0-9A-F]+)$", 16, 1.0), ("base32", "^[A-Z2-7]+=*$", 32, 1.1), ("base36", "^([a-z0-9]+|[A-Z0-9]+)$", 36, 1.4), ("base64", ".", 64, 3.0))
 CHANGE_RATE, ALPHA, SERIAL_Z = 0.08, 0.001, 3.3
 LENGTH_CLASSES = (32, 48, 80)
+#: Matches whose places are added up at a time.
+BLOCK = 128
 BINS_PER_DECADE, MOST_BIN = 8, 8 * 60
-MOST_BROADCAST = 1_000_000
 REPLACEMENT = "[SECRET]"
 
 
+_SPANS = "array<struct<start:int,end:int,size:int,run:string>>"
+
+
 def _found(text: Column, pattern: str, group: int) -> Column:
-    """Structs (start, end, size) of the matches: what lies between them gives the starts."""
+    """Structs (start, end, size, run) of the matches: what lies between them gives the starts.
+
+    Places are added up within blocks of BLOCK matches and then over blocks, so many matches don't cost their square.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.char_length)
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     steps = F.arrays_zip(F.transform(matches, F.char_length).alias("m"), gaps.alias("g"), sizes.alias("s"), matches.alias("t"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,size:int,run:string>>").alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["g"]
         one = F.struct(start.alias("start"), (start + x["m"]).alias("end"), x["s"].alias("size"), x["t"].alias("run"))
         return F.struct((start + x["m"]).alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    spans = F.aggregate(F.filter(steps, lambda x: x["m"].isNotNull()), zero, step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast("array<struct<start:int,end:int,size:int,run:string>>"))
+    def spans_of(block: Column) -> Column:
+        """The spans of blocks of matches, from their places within their block."""
+        befores = F.aggregate(block, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b["at"])))
+        moved = lambda x, by: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end"), x["size"].alias("size"), x["run"].alias("run"))
+        return F.flatten(F.transform(F.arrays_zip(block.alias("b"), befores.alias("by")), lambda z: F.coalesce(F.transform(z["b"]["out"], lambda x: moved(x, z["by"])), F.array().cast(_SPANS))))
+
+    held = F.filter(steps, lambda x: x["m"].isNotNull())
+    blocks = lambda h: F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / BLOCK).cast("int")), lambda c: F.aggregate(F.slice(h, c * BLOCK + 1, F.lit(BLOCK)), zero, step))
+    once = lambda value, f: F.get(F.transform(F.array(value), f), 0)  # noqa: E731  a value that is used more than once is made once
+    spans = once(held, lambda h: F.when(F.size(h) > 0, once(blocks(h), spans_of)).otherwise(F.array().cast(_SPANS)))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
 
 
 def _as_spans(column: str, order: int, least: int) -> Column:
@@ -161,19 +177,20 @@ def counted(spans: str, kind: str) -> Column:
 
 def redact(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """docs, with all its columns, where every span of the text is replaced; overlapping spans make one replacement."""
+    d, t, spans, own = free_names(docs, "span_id", "span_hash", "found_spans", "own_hash")
     found = secret_spans(docs, alpha).where(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias("__of"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")).dropDuplicates(["__of", "__hash"])
-    found = guarded_broadcast(found, MOST_BROADCAST)
+    found = found.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t), F.col("spans").alias(spans)).dropDuplicates([d, t])
+    found = guarded_broadcast(materialize(found))
     hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = docs.withColumn("__text_hash", hashed)
-    out = out.join(found, (F.col("__text_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__of")), "left")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    out = docs.withColumn(own, hashed)
+    out = out.join(found, (F.col(own) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d)), "left")
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
         gap = F.substring(F.col("text"), s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"]))
-        add = F.when((x["start"] >= s["at"]), F.concat(s["out"], gap, F.lit(REPLACEMENT))).otherwise(s["out"])
+        add = F.when((x["start"] >= s["at"]), F.concat(s["out"], F.array(gap, F.lit(REPLACEMENT)))).otherwise(s["out"])
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), add.alias("out"))
 
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.lit(2**31 - 1)))
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.aggregate("__spans", zero, step, rest))
-    return out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), s["at"] + 1, F.lit(2**31 - 1)))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.aggregate(spans, zero, step, rest))
+    return out.withColumn("text", text).select(*columns_of(docs))

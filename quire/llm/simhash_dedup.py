@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import columns_of, free_names, guarded_broadcast, is_small, materialize, named
 from quire.llm.graph import connected_components
 
 HALF_BITS, CODE_BITS, HALF_DISTANCE, RADIUS = 32, 31, 2, 1
@@ -233,13 +233,26 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> D
 
     Each row is judged on its own text, known by doc_id and the text's hash: rows of one doc_id
     with unlike texts are in components of their own. Of the rows of a component that share its
-    least doc_id the row with the least text stays; rows without a doc_id cannot be named and stay.
+    least doc_id the one with the least hash of its text stays, of equal rows one; rows without a doc_id cannot be named and stay.
+
+    The rows are shuffled only if those that go are too many to broadcast; rows that stand in docs more than once are
+    told apart by a hash of their other columns.
     """
     fps = materialize(fingerprints(docs, width, hashed=True))
-    found = fps.join(_components(fps, distance), "fp").where("doc_id = component_id")
-    stay = found.select(F.col("doc_id").alias("__stay"), F.col("text_hash").alias("__hash"), F.col("root").alias("__root")).distinct()
-    text = docs.where(F.col("doc_id").isNotNull()).join(stay, (F.col("doc_id") == F.col("__stay")) & (_text_hash() == F.col("__hash")))
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = text.groupBy("doc_id", "__root").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("__row"))
-    one = one.select("doc_id", *[F.col(f"__row.`{c}`").alias(c) for c in rest]).select(*docs.columns)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    found = fps.where("doc_id is not null").join(_components(fps, distance), "fp")
+    rows = materialize(found.groupBy("doc_id", "text_hash", "fp", "component_id", "root").agg(F.count("*").alias("n")))
+    first = rows.where("doc_id = component_id").groupBy("root").agg(F.min("text_hash").alias("kept_hash"))
+    chosen = rows.join(first, "root", "left").withColumn("stays", (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("kept_hash")))
+    d, t, h = free_names(docs, "gone_id", "gone_hash", "order_hash")
+    known = (F.col("doc_id") == F.col(d)) & (_text_hash() == F.col(t))
+    keys = lambda df: guarded_broadcast(materialize(df.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t))))
+    out = docs.join(keys(chosen.where("not stays")), known, "left_anti")
+    twice = materialize(chosen.where("stays and n > 1").select("doc_id", "text_hash"))
+    if is_small(twice, 0):
+        return out
+    twice = keys(twice)
+    plain = [named(f.name) for f in docs.schema.fields if "map" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    again = docs.join(twice, known, "left_semi").withColumn(h, F.xxhash64(*plain))
+    again = again.groupBy("doc_id", _text_hash().alias(t)).agg(F.min_by(F.struct(*columns_of(docs)), h).alias(d))
+    again = again.select(*[F.col(d)[c].alias(c) for c in docs.columns])
+    return out.join(twice, known, "left_anti").unionByName(again)

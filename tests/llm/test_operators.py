@@ -12,9 +12,10 @@ from pathlib import Path
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quire.llm import chat_format, decontaminate, graph, lm_score, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
-from quire.llm.common import is_small
+from quire.llm.common import is_small, table_bytes
 
 DIR = Path("/root/testdata/sf0.001")
 given_tables = pytest.mark.skipif(not DIR.is_dir(), reason="needs the test tables")
@@ -376,6 +377,13 @@ def test_base_patterns(spark, awkward):
     assert secret_scan.secret_spans(awkward).count() == len(AWKWARD) and secret_scan.secret_spans(awkward.where("false")).count() == 0
 
 
+def test_many_matches(spark):
+    texts = [" ".join(f"é {i:016x}" for i in range(n)) for n in (1, 127, 128, 129, 5000)]
+    rows = secret_scan.secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        assert [(s.start, s.end) for s in r.base] == [m.span() for m in re.finditer("[0-9a-f]{16,}", texts[r.doc_id])]
+
+
 def test_randomness_battery(spark):
     token = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
     import base64
@@ -504,5 +512,31 @@ def test_classifier_on_awkward_rows(spark, awkward):
     assert quality_classifier.score_quality(awkward.where("false"), labels).count() == 0
 
 
+RESERVED = "gone_id gone_hash order_hash text_hash fp root n stays kept_hash found_id found_hash d t lang_1 least_length most_symbols measured_text n_words n_lines base_failed kept span_id span_hash found_spans own_hash spans row runs item hs windows size begin __stay __hash __root __row __found __lang __source __text __kept __of __spans __text_hash x.y a`b"
+
+
+def test_extra_columns_of_any_name_and_type(spark):
+    """Stages keep columns with reserved and dotted names, and maps, which have no order."""
+    text = " ".join(f"word{i} ab{i * 7}" for i in range(60))
+    rows = [(1, text, "en", "a"), (1, text, "en", "a"), (2, text + " more", "en", "a"), (3, "token = abcdefabcdefabcdef " + text[::-1], "en", "a"), (4, text[::-1] + " " + " ".join(f"item{i}" for i in range(50)), None, None), (None, text, "de", "b")]
+    names = RESERVED.split()
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").select("*", *[F.lit(f"v{k}").alias(c) for k, c in enumerate(names)], F.create_map(F.lit("k"), F.lit(1)).alias("a map"))
+    bench = spark.createDataFrame([(1, " ".join(f"item{i}" for i in range(50)))], "item_id long, text string").select("*", *[F.lit(1).alias(c) for c in names])
+    stages = {"good": quality_rules.keep_good, "one": simhash_dedup.keep_one, "clean": lambda x: decontaminate.remove_contaminated(x, bench), "redacted": secret_scan.redact}
+    found = {}
+    for name, stage in stages.items():
+        out = stage(df)
+        assert out.columns == df.columns, name
+        found[name] = sorted((tuple(r) for r in out.collect()), key=repr)
+        extra = {tuple(r[4:-1]) for r in found[name]}
+        assert extra == {tuple(f"v{k}" for k in range(len(names)))} and all(r[-1] == {"k": 1} for r in found[name]), name
+    ids = {k: [r[0] for r in v] for k, v in found.items()}
+    assert sorted(ids["one"], key=str) == [1, 3, 4, None] and sorted(ids["clean"], key=str) == [1, 1, 2, 3, None]
+    assert len(ids["good"]) == 6 and sum("[SECRET]" in r[1] for r in found["redacted"]) == 1
+    packed = packing.pack(df)
+    assert packing.pack(df, with_ids=False).count() == packed.count() == 6
+
+
 def test_checked_sizes(spark):
+    assert table_bytes(spark.range(10)) == 400 and table_bytes(spark.range(0)) == 0
     assert is_small(spark.range(5), 5) and not is_small(spark.range(6), 5)
