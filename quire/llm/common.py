@@ -33,15 +33,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back, which cuts the lineage.
 
-    A lost executor costs at most the tasks that were running: finished tables stay.
+    A lost executor costs at most the tasks that were running: finished tables stay. `replaces` is a table of
+    an earlier call that nothing reads any more; it is deleted once df is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if replaces is not None:
+        discard(replaces)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quire_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table behind a DataFrame that materialize gave; others are left alone."""
+    path = getattr(df, "_quire_path", None)
+    if path is not None:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def words_of(text: Column) -> Column:

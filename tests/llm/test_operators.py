@@ -120,6 +120,13 @@ def test_components_of_a_long_path(spark):
     assert graph.connected_components(edges.where("false")).count() == 0
 
 
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB", 5)
+    pairs = [(1000, i) for i in range(1001, 1100)] + [(i, 50) for i in range(2000, 2040)] + [(2005, 1005), (7, 8), (8, 9)]
+    got = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == dict.fromkeys([50, *range(1000, 1100), *range(2000, 2040)], 50) | {7: 7, 8: 7, 9: 7}
+
+
 # 2
 
 
