@@ -423,6 +423,31 @@ def test_snapshots_collapse(spark):
     assert chat_format.render(turns.where("false")).count() == 0
 
 
+def test_conversations_of_many_segments(spark):
+    """Long conversations, equal turn numbers and null turns, cut anywhere, against brute force."""
+    rng = random.Random(6)
+    said = [("user" if i % 2 else "bot", f"text {rng.randrange(5)}") for i in range(40)]
+    rows = [(c, i, *x) for c, n in ((1, 40), (2, 40), (3, 39), (4, 17), (5, 16), (7, 1)) for i, x in enumerate(said[:n])]
+    rows += [(6, 3 * i + 100, *x) for i, x in enumerate(said[:38])]  # other numbers, same places
+    rows += [(8, 5, "user", f"t{i:02}") for i in range(30)] + [(9, i, "user", f"t{i:02}") for i in range(31)] + [(10, None, None, f"n{i}") for i in range(9)] + [(11, None, "user", None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    low = lambda x: (x is not None, x or 0) if not isinstance(x, str) else (True, x)
+    talks = collections.defaultdict(list)
+    for c, *rest in sorted(rows, key=lambda r: (r[0], low(r[1]), low(r[2]), low(r[3]))):
+        talks[c].append(tuple(rest[1:]))
+    want = set()
+    for c, x in talks.items():
+        if not any(len(y) > len(x) and y[: len(x)] == x for y in talks.values()) and c == min(k for k, y in talks.items() if y == x):
+            text = "".join(f"<|im_start|>{r or ''}\n{t or ''}<|im_end|>\n" for r, t in x)
+            want.add((c, len(x), sum(y == x for y in talks.values()), text))
+    for segment in (1, 3, 16, 512):
+        parts = collections.defaultdict(list)
+        for r in chat_format.render(turns, segment).collect():
+            parts[r.conv_id, r.n_turns, r.n_copies].append((r.segment, r.text))
+        assert all(sorted(n for n, _ in p) == list(range(len(p))) for p in parts.values())
+        assert {(*k, "".join(t for _, t in sorted(p))) for k, p in parts.items()} == want
+
+
 # 8
 
 
