@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,43 +43,59 @@ def chain_heads(links: DataFrame) -> DataFrame:
 
     Chains are followed by doubling, so k rounds cover chains of 2^k pages; a cycle stops at its least member.
     """
-    now = links.select("doc_id", F.col("tail").alias("id"), F.col("head"))
+    now, held = links.select("doc_id", F.col("tail").alias("id"), F.col("head")), None
     while True:
         up = now.select(F.col("doc_id").alias("d"), F.col("id").alias("via"), F.col("head").alias("above"))
         joined = now.join(up, (F.col("doc_id") == F.col("d")) & (F.col("head") == F.col("via")) & (F.col("above") < F.col("head")), "left")
-        step = joined.select("doc_id", "id", F.coalesce("above", "head").alias("head"), F.col("above").isNotNull().alias("moved")).cache()
-        if not step.where("moved").head(1):
-            return step.drop("moved")
-        now = step.drop("moved")
+        step = joined.select("doc_id", "id", F.coalesce("above", "head").alias("head"), F.col("above").isNotNull().alias("moved")).persist()
+        done = not step.where("moved").head(1)
+        if held is not None:
+            held.unpersist()
+        if done:
+            step.unpersist()
+            return now
+        now, held = step.drop("moved"), step
 
 
-def widest_gap(spans: list[tuple[int, int]], least: int = MIN_GAP) -> int | None:
-    """The middle of the widest gap between (start, size) spans; the first of equals; None below `least`."""
-    ordered = sorted((a, a + n) for a, n in spans)
-    frontier, best, cut = ordered[0][1], 0, None
-    for start, end in ordered[1:]:
-        if start - frontier >= least and start - frontier > best:
-            best, cut = start - frontier, (frontier + start) // 2
-        frontier = max(frontier, end)
-    return cut
+def widest_gaps(region: np.ndarray, start: np.ndarray, size: np.ndarray, least: int = MIN_GAP) -> dict[int, int]:
+    """The middle of the widest uncovered stretch of each region's projection, for regions that have one of `least` or more; the first of equals.
+
+    Regions share one axis: each is moved beyond all others, so that one running maximum covers all projections.
+    """
+    stop = start + size
+    far = int(max(stop.max(), start.max()) - min(start.min(), stop.min())) + 1
+    order = np.lexsort((stop, start, region))
+    region, start, stop = region[order], start[order], stop[order]
+    covered = np.maximum.accumulate(stop + region * far)[:-1] - region[:-1] * far
+    gap = np.where(region[1:] == region[:-1], start[1:] - covered, 0)
+    wide = np.flatnonzero((gap >= least) & (gap > 0))
+    wide = wide[np.lexsort((wide, -gap[wide], region[wide]))]
+    regions, first = np.unique(region[wide], return_index=True)
+    at = wide[first]
+    return dict(zip(regions.tolist(), ((covered[at] + start[at + 1]) // 2).tolist(), strict=True))
 
 
 def xy_cut(boxes: list[tuple[int, int, int, int]]) -> list[int]:
-    """Indices of (x, y, w, h) boxes in reading order: columns first, then rows, else top and left."""
-    work, out = [list(range(len(boxes)))], []
-    while work:
-        group = work.pop()
-        for axis in (0, 1) if len(group) > 1 else ():
-            cut = widest_gap([(boxes[i][axis], boxes[i][axis + 2]) for i in group])
-            if cut is not None:
-                before = [i for i in group if boxes[i][axis] + boxes[i][axis + 2] <= cut]
-                after = [i for i in group if boxes[i][axis] >= cut]
-                if before and after and len(before) + len(after) == len(group):
-                    work += [after, before]
-                    break
-        else:
-            out += sorted(group, key=lambda i: (boxes[i][1], boxes[i][0]))
-    return out
+    """Indices of (x, y, w, h) boxes in reading order: columns first, then rows, else top and left.
+
+    All regions of a page are cut at once, level by level: a region with an uncovered column between
+    its boxes is cut there, else one with an uncovered row. Regions are numbered in reading order, so a cut
+    renumbers them as pairs; the last regions are read by top and left.
+    """
+    if not boxes:
+        return []
+    at = np.array(boxes, dtype=np.int64)
+    region = np.zeros(len(at), dtype=np.int64)
+    while True:
+        cuts: dict[int, tuple[int, int]] = {}
+        for axis in (1, 0):
+            cuts |= {r: (axis, c) for r, c in widest_gaps(region, at[:, axis], at[:, axis + 2]).items()}
+        if not cuts:
+            return np.lexsort((np.arange(len(at)), at[:, 0], at[:, 1], region)).tolist()
+        later = np.zeros(len(at), dtype=np.int64)
+        for r, (axis, c) in cuts.items():
+            later[(region == r) & (at[:, axis] >= c)] = 1
+        region = np.unique(region * 2 + later, return_inverse=True)[1].reshape(-1)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

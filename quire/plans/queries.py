@@ -215,11 +215,9 @@ def normalize_entities(spark, d):
 
 
 def _tone_sql(text: str) -> str:
-    for pair in N.TONES.split():
-        for form in (str, str.capitalize, str.upper):
-            a, b = (form(x) for x in pair.split("-"))
-            before, keep = (("(^|[^qQ])", r"\1"), (r"\2",)) if a[0] in "uU" else (("", ""), (r"\1",))
-            text = f"regexp_replace({text}, '{before[0]}{a}([^\\p{{L}}]|$)', '{before[1]}{b}{keep[0]}', 'g')"
+    for a, b in N.tone_pairs().items():
+        before, keep = (("(^|[^qQ])", r"\1"), (r"\2",)) if a[0] in "uU" else (("", ""), (r"\1",))
+        text = f"regexp_replace({text}, '{before[0]}{a}([^\\p{{L}}]|$)', '{before[1]}{b}{keep[0]}', 'g')"
     return text
 
 

@@ -93,28 +93,33 @@ def file_index(files: DataFrame) -> DataFrame:
     return files.groupBy("stem").agg(F.min("path").alias("path"))
 
 
+def _docx_row(tr: ElementTree.Element) -> Iterator[tuple[int, int, bool, str]]:
+    """(column, width, whether it continues the cell above, text) of the cells of a table row."""
+    column = 0
+    for tc in tr.iterfind(f"{_W}tc"):
+        prop = lambda name: tc.find(f"{_W}tcPr/{_W}{name}")  # noqa: B023, E731
+        width = 1 if prop("gridSpan") is None else int(prop("gridSpan").get(f"{_W}val", 1))
+        goes_on = prop("vMerge") is not None and prop("vMerge").get(f"{_W}val") in (None, "continue")
+        yield column, width, goes_on, "\n".join(map(_paragraph, tc.iterfind(f"{_W}p")))
+        column += width
+
+
 def docx_cells(table: ElementTree.Element) -> list[tuple[int, int, int, int, str]]:
-    """(row, column, colspan, rowspan, text) of the cells of a table, merged ones once, by grid column; row spans count continuing cells below."""
-    rows, out = [], []
-    for tr in table.findall(f"{_W}tr"):
-        column, cells = 0, []
-        for tc in tr.findall(f"{_W}tc"):
-            props = tc.find(f"{_W}tcPr")
-            grid = props.find(f"{_W}gridSpan") if props is not None else None
-            merge = props.find(f"{_W}vMerge") if props is not None else None
-            width = int(grid.get(f"{_W}val", "1")) if grid is not None else 1
-            going_on = merge is not None and merge.get(f"{_W}val", "continue") == "continue"
-            cells.append((column, width, going_on, "\n".join(_paragraph(p) for p in tc.findall(f"{_W}p"))))
-            column += width
-        rows.append(cells)
-    for r, cells in enumerate(rows):
-        for column, width, going_on, text in cells:
-            if not going_on:
-                below = 1
-                while r + below < len(rows) and any(c == column and g for c, _, g, _ in rows[r + below]):
-                    below += 1
-                out.append((r, column, width, below, text))
-    return out
+    """(row, column, colspan, rowspan, text) of the cells of a table, merged ones once, by grid column.
+
+    Rows are read from the last one up: a continuing cell hands its height to the cell above it.
+    """
+    out, below = [], {}
+    for r, tr in reversed(list(enumerate(table.iterfind(f"{_W}tr")))):
+        handed = {}
+        for column, width, goes_on, text in _docx_row(tr):
+            height = 1 + below.get(column, 0)
+            if goes_on:
+                handed[column] = height
+            else:
+                out.append((r, column, width, height, text))
+        below = handed
+    return sorted(out, key=lambda c: c[:2])
 
 
 def _paragraph(p: ElementTree.Element) -> str:

@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def test_words_to_lines(spark):
 def test_columns_read_before_rows():
     assert assemble.xy_cut([(60, 30, 40, 20), (0, 0, 40, 20), (60, 0, 40, 20), (0, 30, 40, 20)]) == [1, 3, 2, 0]
     assert assemble.xy_cut([(0, 0, 100, 10), (0, 30, 40, 20), (60, 30, 40, 20)]) == [0, 1, 2]
-    assert assemble.widest_gap([(0, 10), (17, 5)]) is None and assemble.widest_gap([(0, 10), (18, 5), (31, 5)]) == 14
+    gaps = lambda *spans: assemble.widest_gaps(np.zeros(len(spans), dtype=int), *map(np.array, zip(*spans, strict=True)))
+    assert gaps((0, 10), (17, 5)) == {} and gaps((0, 10), (18, 5), (31, 5)) == {0: 14}
 
 
 def elements(spark):
