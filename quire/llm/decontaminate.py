@@ -128,7 +128,9 @@ def window_fingerprints(sharing: DataFrame) -> DataFrame:
     places = F.transform("hs", lambda h, i: row(i, 0, h, none, none, zero))
     edges = lambda kind, at: F.flatten(F.transform("windows", lambda w: F.transform(w["begins"], lambda b: row(at(w, b), kind, zero, w["n"], b, F.get("hs", b)))))
     ends = edges(2, lambda w, b: F.least(b + w["n"], F.col("size")) - 1)
-    each = sharing.select("doc_id", "text_hash", "size", F.explode_outer(F.concat(places, edges(1, lambda w, b: b - 1), ends)).alias("e")).select("doc_id", "text_hash", "size", "e.*")
+    # Dealt before the places are rows of their own, which are many times the size of the arrays.
+    whole = sharing.repartition(int(sharing.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "text_hash")
+    each = whole.select("doc_id", "text_hash", "size", F.explode_outer(F.concat(places, edges(1, lambda w, b: b - 1), ends)).alias("e")).select("doc_id", "text_hash", "size", "e.*")
     sofar = Window.partitionBy("doc_id", "text_hash").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     counted = each.select("*", *[F.sum(_lane("h", k)).over(sofar).alias(c) for k, c in enumerate(COUNTERS)]).where("kind > 0")
     less = [F.expr(f"sum(if(kind = 2, {c}, -{c}))").alias(c) for c in COUNTERS]
