@@ -1,11 +1,13 @@
 """A quality classifier from positive and unlabelled texts.
 
-Trusted positives are texts labelled 1, the unlabelled sample is drawn from all texts, and the class prior is the
-share of ones among the training labels. The model, a small network over text features, minimises the
+Trusted positives are texts labelled 1, the unlabelled sample is drawn from all texts. The class prior is not estimated from
+positives and unlabelled texts alone: it is the share of ones among the training labels, so the zeros count for
+the prior and for nothing else. The model, a small network over text features, minimises the
 non-negative unbiased risk: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), with the
 sigmoid loss; where the estimate of the negative part falls below zero its gradient is reversed.
 
-Fitting takes a bounded sample, at most about POSITIVES and UNLABELLED rows, chosen by hashes of doc_id; it
+Fitting takes a bounded sample of distinct (doc_id, text), at most POSITIVES and UNLABELLED, the first by a hash of
+both, so that rows without a doc_id and with a repeated one are drawn like any other; it
 runs on the driver in some 20 MB. Scoring covers every row in one pass without a shuffle.
 
 Features come from the whole text alone: shares of byte pairs in hashed buckets and a few ratios.
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import guarded_broadcast, materialize
 from quire.llm.quality_rules import measure
 
 FOLDS, HELD_OUT = 3, 1
@@ -93,18 +96,23 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return [w[0] / spread[:, None], w[1] - (mean / spread) @ w[0], w[2], w[3]]
 
 
-def _as_features(docs: DataFrame, label: str) -> DataFrame:
+def _as_features(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(x).tobytes() for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(label), pa.array(made, pa.binary())], [label, "x"])
+            yield pa.RecordBatch.from_arrays([pa.array([features(x).tobytes() for x in batch.column("text").to_pylist()], pa.binary())], ["x"])
 
-    return docs.select(label, F.col("text").cast("binary").alias("text")).mapInArrow(run, f"{label} int, x binary")
+    return texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "x binary")
 
 
-def _share_of(most: int, n: int):
-    """Whether a doc_id is among about most of n, by its hash."""
-    return F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, most / max(1, n))))
+def _sample(rows: DataFrame, most: int) -> DataFrame:
+    """(text) of at most `most` distinct (doc_id, text) of rows, the first by their hash.
+
+    A first pass over hashes alone finds a limit that about 1.2 * most rows pass, so that few texts are moved.
+    """
+    hashed = rows.withColumn("order", F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 40)))
+    share = min(1.0, 1.2 * most / max(1, hashed.agg(F.approx_count_distinct("order")).first()[0]))
+    few = hashed.where(F.col("order") < int(share * (1 << 40))).dropDuplicates(["doc_id", "text"])
+    return few.orderBy("order").limit(most).select("text").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _matrix(df: DataFrame) -> np.ndarray:
@@ -120,10 +128,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray] | None,
     if not ones:
         return None, 0.5 if not zeros else 0.0
     prior = ones / (ones + zeros)
-    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    trusted = given.where("quality = 1").where(_share_of(POSITIVES, ones)).select("doc_id", F.lit(1).alias("trusted"))
-    positive = _matrix(_as_features(texts.where(_share_of(POSITIVES, ones)).join(trusted, "doc_id"), "trusted"))
-    unlabelled = _matrix(_as_features(texts.where(_share_of(UNLABELLED, texts.count())).withColumn("trusted", F.lit(0)), "trusted"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    trusted = guarded_broadcast(materialize(given.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))))
+    positive = _matrix(_as_features(_sample(texts.join(trusted, "doc_id", "left_semi"), POSITIVES)))
+    unlabelled = _matrix(_as_features(_sample(texts, UNLABELLED)))
     return (fit(positive, unlabelled, min(prior, 0.99)) if len(positive) else None), prior
 
 
