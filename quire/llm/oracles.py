@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from quire.llm import chat_format, quality_rules, substring_dedup, url_filter
 
 _WORDS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -27,14 +29,14 @@ def _limits() -> str:
     return ", ".join([*out, f"max(q1 - {quality_rules.SPREAD} * greatest(q3 - q1, {length})) FILTER (WHERE ratio = 'length') AS least_length"])
 
 
-_B = quality_rules.BINS
+_P = f"(1::BIGINT << greatest(0, length(bin(v)) - {quality_rules.DIGITS}))"
 QUALITY_RULES = rf"""WITH w AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS.format('text')} AS ws FROM documents),
 ln AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM w), lc AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
 u AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w), t AS (SELECT r, i, word || ' ' || lead(word) OVER (PARTITION BY r ORDER BY i) || ' ' || lead(word, 2) OVER (PARTITION BY r ORDER BY i) AS tri FROM u),
 d AS (SELECT r, i, count(*) OVER (PARTITION BY r, tri) AS n FROM t WHERE tri IS NOT NULL), rc AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM d, (VALUES (0), (1), (2)) v(k) WHERE n > 1 GROUP BY 1),
 m AS (SELECT w.r, doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM w LEFT JOIN lc USING (r) LEFT JOIN rc USING (r)),
-b AS (SELECT *, least({_B}, n_symbols * 1000 // greatest(1, n_words)) AS symbols, least({_B}, n_repeat_words * 1000 // greatest(1, n_words)) AS repeats, least({_B}, n_dup_lines * 1000 // greatest(1, n_lines)) AS lines, least({_B}, word_chars * 100 // greatest(1, n_words)) AS length FROM m),
-s AS (SELECT lang, source, ratio, bin, count(*) AS n FROM (SELECT lang, source, unnest(['symbols', 'repeats', 'lines', 'length']) AS ratio, unnest([symbols, repeats, lines, length]) AS bin FROM b WHERE n_words > 0) GROUP BY ALL),
+b AS (SELECT *, n_symbols * 1000 // greatest(1, n_words) AS symbols, n_repeat_words * 1000 // greatest(1, n_words) AS repeats, n_dup_lines * 1000 // greatest(1, n_lines) AS lines, word_chars * 100 // greatest(1, n_words) AS length FROM m),
+s AS (SELECT lang, source, ratio, v // {_P} * {_P} AS bin, count(*) AS n FROM (SELECT lang, source, unnest(['symbols', 'repeats', 'lines', 'length']) AS ratio, unnest([symbols, repeats, lines, length]) AS v FROM b WHERE n_words > 0) GROUP BY ALL),
 o AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM s),
 q AS (SELECT lang, source, ratio, min(bin) FILTER (WHERE upto * 4 >= total) AS q1, min(bin) FILTER (WHERE upto * 4 >= total * 3) AS q3 FROM o GROUP BY ALL), l AS (SELECT lang, source, {_limits()} FROM q GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
@@ -59,20 +61,25 @@ def _rule(result: int) -> str:
     return out + " END"
 
 
+#: Rounds after which no host gets as much as the tolerance.
+_ROUNDS = math.ceil(math.log(url_filter.TOLERANCE) / math.log(url_filter.DAMPING))
+
+
 def _ranks(name: str, seed: str, src: str, dst: str) -> str:
     """The rounds of a personalised rank, each a common table expression."""
-    d, out = url_filter.DAMPING, [f"{name}e AS (SELECT {src} AS s, {dst} AS t, n / sum(n) OVER (PARTITION BY {src}) AS w FROM edges)", f"{name}0 AS (SELECT host, 1.0::DOUBLE AS x FROM h WHERE {seed} * 2 > n)"]
-    for k in range(url_filter.ITERATIONS):
-        out.append(f"{name}{k + 1} AS (SELECT host, sum(x) AS x FROM (SELECT host, x * {1 - d} AS x FROM {name}0 UNION ALL SELECT t, x * w * {d} FROM {name}{k} JOIN {name}e ON s = host) GROUP BY 1)")
-    return ", ".join(out)
+    out = [f"{name}0 AS (SELECT host, 1.0::DOUBLE AS x FROM h WHERE {seed} * 2 > n)"]
+    for k in range(_ROUNDS):
+        out.append(f"{name}{k + 1} AS (SELECT {dst} AS host, sum(x * w) * {url_filter.DAMPING} AS x FROM {name}{k} JOIN links ON {src} = host GROUP BY 1)")
+    every = " UNION ALL ".join(f"SELECT * FROM {name}{k}" for k in range(_ROUNDS + 1))
+    return ", ".join([*out, f"{name} AS (SELECT host, sum(x) AS x FROM ({every}) GROUP BY 1)"])
 
 
-_LAST = url_filter.ITERATIONS
+_HREFS = url_filter.HREF.replace("'", "''")
 URL_FILTER = rf"""WITH p AS (SELECT page_id, html, {_HOST.format('url')} AS host, {_PATH.format('url')} AS path FROM pages), j AS (SELECT page_id, host, path, {_rule(0)} AS rule, {_rule(1)} AS v FROM p),
 h AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE v = 'allow') AS good, count(*) FILTER (WHERE v = 'block') AS bad FROM j WHERE host <> '' GROUP BY 1),
-hrefs AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\x20*=\x20*["'']?([a-z][a-z0-9+.-]*://[^"''\x20>]+)', 1)) AS href FROM p), edges AS (SELECT src, {_HOST.format('href')} AS dst, count(*) AS n FROM hrefs GROUP BY ALL HAVING src <> dst AND src <> '' AND dst <> ''),
-{_ranks('g', 'good', 'src', 'dst')}, {_ranks('b', 'bad', 'dst', 'src')},
-z AS (SELECT b{_LAST}.host FROM b{_LAST} LEFT JOIN g{_LAST} USING (host) WHERE b{_LAST}.x > {url_filter.FLOOR} AND b{_LAST}.x > {url_filter.MARGIN} * (coalesce(g{_LAST}.x, 0) + b{_LAST}.x))
+hrefs AS (SELECT src, CASE WHEN href LIKE '//%' THEN 'any:' || href ELSE href END AS href FROM (SELECT host AS src, unnest(regexp_extract_all(html, '{_HREFS}', 1)) AS href FROM p)), edges AS (SELECT src, {_HOST.format('href')} AS dst, count(*) AS n FROM hrefs GROUP BY ALL HAVING src <> dst AND src <> '' AND dst <> ''),
+links AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w FROM edges), {_ranks('g', 'good', 'src', 'dst')}, {_ranks('b', 'bad', 'dst', 'src')},
+z AS (SELECT b.host FROM b LEFT JOIN g USING (host) WHERE b.x > {url_filter.FLOOR} AND b.x > {url_filter.MARGIN} * (coalesce(g.x, 0) + b.x))
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN host IN (SELECT host FROM z) THEN 'block' END, 'allow') AS verdict FROM j"""
 
 _N = substring_dedup.WINDOW

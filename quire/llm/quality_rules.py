@@ -1,14 +1,15 @@
 """Quality rules with fixed base limits and adaptive thresholds for each language and source.
 
-One pass over the texts measures them. Four ratios, in thousandths, go into quantile sketches: an
-equi-width histogram of at most 4,097 bins for each (lang, source) and ratio, which merges by adding
-counts, so partial sketches combine before the shuffle and the result doesn't depend on the order.
-A threshold is the upper quartile plus `spread` times the interquartile range (at least a floor for
-each ratio, so that a group where nearly all texts agree isn't cut to pieces). A text above any
-threshold of its group is rejected, and so is one that fails the base limits.
+One pass over the texts measures them. Four ratios go into quantile sketches: a histogram with bins of
+DIGITS significant binary digits for each (lang, source) and ratio, some 64 bins for each doubling, so that a
+quantile is off by less than 1.6 % whatever its size. Sketches merge by adding counts, so partial ones combine
+before the shuffle and the result doesn't depend on the order. A limit is the upper quartile plus `spread` times
+the interquartile range (at least a floor for each ratio, so that a group where nearly all texts agree isn't cut
+to pieces); a text above any limit of its group is rejected, and so is one that fails the base limits. Texts
+are judged by their own ratios, not by bins.
 
-The ratios: symbols for each word; words in repeated three-word windows for each word; repeated
-lines for each line with a word; and the distance of the mean word length from the group's median.
+The ratios: symbols for each word, words in repeated three-word windows for each word, and repeated lines for each line
+with a word, in thousandths; and the mean word length in hundredths of a character, which has a lower limit as well.
 
 Nulls and edges: a null or blank text has no words and fails the base limits; null lang and null
 source are values of their own; a null doc_id stays; repeated rows are judged one by one; an
@@ -30,9 +31,10 @@ from quire.llm.common import columns_of, free_names, guarded_broadcast, material
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SPREAD = 3.0
-#: What the interquartile range counts at least, in thousandths.
+#: What the interquartile range counts at least, in the units of the ratios.
 FLOORS = {"symbols": 30, "repeats": 100, "lines": 170, "length": 500}
-BINS = 4096
+#: Binary digits of a ratio that its bin keeps.
+DIGITS = 7
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 _SYMBOLS = b"#*$%&|<>"
 #: The bytes of UTF-8 that don't begin a code point.
@@ -95,15 +97,17 @@ def measured(docs: DataFrame, names: dict[str, str], keep: list[str]) -> DataFra
 
 
 def _ratios(n: dict[str, str]) -> dict[str, F.Column]:
-    per = lambda a, b: F.expr(f"least({BINS}, cast({n[a]} * 1000 div greatest(1, {n[b]}) as int))")
-    return {"symbols": per("n_symbols", "n_words"), "repeats": per("n_repeat_words", "n_words"), "lines": per("n_dup_lines", "n_lines"), "length": F.expr(f"least({BINS}, cast({n['word_chars']} * 100 div greatest(1, {n['n_words']}) as int))")}
+    per = lambda a, times, b: F.expr(f"{n[a]} * {times} div greatest(1, {n[b]})")
+    return {"symbols": per("n_symbols", 1000, "n_words"), "repeats": per("n_repeat_words", 1000, "n_words"), "lines": per("n_dup_lines", 1000, "n_lines"), "length": per("word_chars", 100, "n_words")}
 
 
 def sketches(metrics: DataFrame) -> DataFrame:
-    """(lang, source, ratio, bin, n): the merged sketches of measured rows with columns lang and source."""
+    """(lang, source, ratio, bin, n): the merged sketches of measured rows with columns lang and source; a bin is the least value in it."""
     ratios = _ratios({m: m for m in METRICS})
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), v.alias("bin")) for k, v in ratios.items()])).alias("r")
-    return metrics.where("n_words > 0").select("lang", "source", each).groupBy("lang", "source", "r.ratio", "r.bin").agg(F.count("*").alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), v.alias("v")) for k, v in ratios.items()])).alias("r")
+    rows = metrics.where("n_words > 0").select("lang", "source", each).select("lang", "source", "r.ratio", "r.v")
+    width = f"shiftleft(1L, greatest(0, length(bin(v)) - {DIGITS}))"
+    return rows.groupBy("lang", "source", "ratio", F.expr(f"v div {width} * {width}").alias("bin")).agg(F.count("*").alias("n"))
 
 
 def thresholds(sketch: DataFrame, spread: float = SPREAD) -> DataFrame:
@@ -112,7 +116,7 @@ def thresholds(sketch: DataFrame, spread: float = SPREAD) -> DataFrame:
     upto = F.sum("n").over(group.orderBy("bin"))
     at = sketch.select("lang", "source", "ratio", "bin", upto.alias("upto"), F.sum("n").over(group).alias("total"))
     quantile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("bin")))
-    q = at.groupBy("lang", "source", "ratio").agg(quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"))
+    q = at.groupBy("lang", "source", "ratio").agg(quantile(1).alias("q1"), quantile(3).alias("q3"))
     floor = F.create_map(*[x for k, v in FLOORS.items() for x in (F.lit(k), F.lit(v))])[F.col("ratio")]
     reach = F.greatest(F.col("q3") - F.col("q1"), floor) * spread
     q = q.select("lang", "source", "ratio", (F.col("q3") + reach).alias("most"), (F.col("q1") - reach).alias("least"))

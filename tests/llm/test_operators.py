@@ -358,6 +358,33 @@ def test_quality_metrics(awkward):
     assert quality_rules.quality_verdicts(awkward.where("false")).count() == 0 == quality_rules.keep_good(awkward.where("false")).count()
 
 
+def test_quality_limits_against_brute_force(spark):
+    """Limits from bins that keep seven binary digits, texts judged by their own ratios; no ratio is clipped, words without spaces included."""
+    rng = random.Random(2)
+    docs = []
+    for i in range(300):
+        lang, long = ("zh", 60) if i % 3 == 0 else ("en", 5)
+        docs.append((i, " ".join("x" * max(1, int(rng.gauss(long, long / 6))) + str(k) + ("#" if rng.random() < 0.05 else "") for k in range(60 + i % 9)), lang, None if i % 7 == 0 else "s"))
+    docs += [(900, " ".join(f"{'y' * 400}{k}" for k in range(60)), "zh", "s"), (901, " ".join(f"w{k} {'#' * 30}" for k in range(60)), "en", "s"), (902, " ".join(f"w{k}" for k in range(60)), "zh", "s")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(df).collect()}
+    ratios = {}
+    for i, text, *group in docs:
+        n, chars, symbols, again, repeat, lines = slow_metrics(text)
+        ratios[i] = (tuple(group), {"symbols": symbols * 1000 // n, "repeats": repeat * 1000 // n, "lines": again * 1000 // lines, "length": chars * 100 // n}, n < 50 or 100 * repeat > 50 * n)
+    bin_ = lambda v: v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7)
+    want = {}
+    for i, (group, own, failed) in ratios.items():
+        fine = True
+        for k, floor in quality_rules.FLOORS.items():
+            held = sorted(bin_(r[k]) for g, r, _ in ratios.values() if g == group)
+            q1, q3 = (held[-(-len(held) * q // 4) - 1] for q in (1, 3))
+            reach = quality_rules.SPREAD * max(q3 - q1, floor)
+            fine &= own[k] <= q3 + reach and (k != "length" or own[k] >= q1 - reach)
+        want[i] = fine and not failed
+    assert got == want and not got[900] and not got[901] and not got[902] and sum(got.values()) > 200
+
+
 def test_quality_thresholds(spark):
     clean = [(i, " ".join(f"w{i}x{k}" for k in range(60 + i % 7)), "en", "a") for i in range(200)]
     noisy = [(1000, " ".join(f"w{k} ###" for k in range(60)), "en", "a")]
@@ -463,6 +490,30 @@ def test_url_rules_and_links(spark):
     assert url_filter.url_verdicts(pages.where("false")).count() == 0
 
 
+def test_link_ranks_against_brute_force(spark):
+    """Chains, cycles, hubs and protocol-relative links; one bad link among many doesn't block."""
+    rng = random.Random(12)
+    hosts = ["x.net", "spam.org", "farm.org", "hub.org", "near.org", "far.org", "neutral.org", "good.com", *[f"h{i}.org" for i in range(12)]]
+    links = {"spam.org": ["x.net"] * 3, "farm.org": ["spam.org", "x.net"], "near.org": ["farm.org", "spam.org"], "far.org": ["near.org"], "neutral.org": ["h0.org"] * 500 + ["x.net"], "hub.org": hosts[8:] + ["x.net", "spam.org"], "good.com": ["h1.org", "neutral.org"]}
+    for h in hosts[8:]:
+        links[h] = rng.choices([*hosts[8:], "hub.org", "spam.org"], k=4)
+    rows = [(k, f"http://{h}/{'es/' if h == 'x.net' else ''}p", " ".join(f'<a href="{"//" if n % 2 else "https://"}{to}/q{n}">' for n, to in enumerate(links.get(h, [])))) for k, h in enumerate(hosts)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r for r in url_filter.host_verdicts(pages).collect()}
+    share = {(a, b): n / sum(to != a for to in out) for a, out in links.items() for b, n in collections.Counter(out).items() if a != b}
+    trust, distrust = ({h: float(h == seed) for h in hosts} for seed in ("good.com", "x.net"))
+    start = dict(trust), dict(distrust)
+    for _ in range(200):
+        trust = {h: start[0][h] + 0.85 * sum(w * trust[a] for (a, b), w in share.items() if b == h) for h in hosts}
+        distrust = {h: start[1][h] + 0.85 * sum(w * distrust[b] for (a, b), w in share.items() if a == h) for h in hosts}
+    for h in hosts:
+        found = (got[h].trust, got[h].distrust) if h in got else (0.0, 0.0)
+        assert found == pytest.approx((trust[h], distrust[h]), abs=0.04)
+    verdicts = {r.host: r.verdict for r in url_filter.url_verdicts(pages).collect()}
+    assert [verdicts[h] for h in ("x.net", "spam.org", "farm.org", "near.org", "far.org")] == ["block"] * 5
+    assert [verdicts[h] for h in ("neutral.org", "good.com", "hub.org")] == ["allow"] * 3
+
+
 # 9
 
 
@@ -501,6 +552,42 @@ def test_shuffled_probes_give_the_same_scores(documents, awkward, monkeypatch):
     assert lm_score.score_texts(awkward.where("false")).count() == 0
 
 
+def slow_scores(rows):
+    """The model's scores with exact counts that are rounded to their levels."""
+    texts = [(i, [*WORD.findall(lower(t)), None]) for i, t in rows]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    counts = collections.Counter()
+    for i, ts in texts:
+        if not held(i):
+            padded = [0, 0, *ts]
+            counts.update(tuple(padded[k - n : k + 1]) for k in range(2, len(padded)) for n in range(3))
+    level = lambda c: (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0
+    total = sum(c for g, c in counts.items() if len(g) == 1) + sum(len(g) == 1 for g in counts) + 1
+    out = []
+    for i, ts in texts:
+        padded, score = [0, 0, *ts], 0.0
+        for k in range(2, len(padded)):
+            words, pairs, triples = (level(counts[tuple(padded[k - n : k + 1])]) for n in range(3))
+            one = level(counts[(padded[k - 1],)]) if padded[k - 1] != 0 else level(counts[(None,)])
+            two = min(level(counts[tuple(padded[k - 2 : k])]), level(counts[(padded[k - 2],)]) if padded[k - 2] != 0 else level(counts[(None,)])) if padded[k - 1] != 0 else level(counts[(None,)])
+            pairs = min(pairs, one)
+            p = (pairs + lm_score.MU * (words + 1) / total) / (one + lm_score.MU)
+            score += math.log10((min(triples, two) + lm_score.MU * p) / (two + lm_score.MU))
+        out.append(score)
+    return out
+
+
+@given_tables
+def test_scores_against_exact_counts(documents, awkward):
+    """With a filter that hardly errs the scores are those of exact counts; with the usual one they are near."""
+    docs = documents.select("doc_id", "text").union(documents.select("doc_id", "text").where("doc_id < 30")).union(awkward.select("doc_id", "text"))
+    want = sorted(round(x, 4) for x in slow_scores([(r.doc_id, r.text) for r in docs.collect()]))
+    sure = sorted(r.score for r in lm_score.score_texts(docs, bits_per_event=512).collect())
+    assert np.mean([a == pytest.approx(b, abs=2e-4) for a, b in zip(sure, want, strict=True)]) > 0.98
+    usual = sorted(r.score for r in lm_score.score_texts(docs).collect())
+    assert usual == pytest.approx(want, rel=0.1, abs=2)
+
+
 def test_language_model_on_awkward_rows(awkward):
     check_scores(awkward)
     assert lm_score.score_texts(awkward.where("false")).count() == 0
@@ -535,6 +622,25 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
+def test_samples_are_bounded_and_take_rows_of_any_id(spark):
+    rows = [(1, f"text {i}") for i in range(3000)] + [(None, f"none {i}") for i in range(3000)] + [(2, "same")] * 3000
+    got = [r.text for r in quality_classifier._sample(spark.createDataFrame(rows, "doc_id long, text string"), 500).collect()]
+    assert len(got) == len(set(got)) == 500 and 150 < sum(t.startswith("none") for t in got) < 350 and sum(t == "same" for t in got) <= 1
+    assert quality_classifier._sample(spark.createDataFrame(rows[:3], "doc_id long, text string"), 500).count() == 3
+
+
+def test_risk_gradient():
+    """The steps of the fit go down the risk: loss by numbers, and positives apart from the rest."""
+    rng = np.random.default_rng(1)
+    d = quality_classifier.BUCKETS + quality_classifier.RATIOS
+    good, bad = rng.normal(1, 1, (300, d)), rng.normal(-1, 1, (300, d))
+    unlabelled = np.concatenate([rng.normal(1, 1, (200, d)), rng.normal(-1, 1, (600, d))])
+    w = quality_classifier.fit(good, unlabelled, 0.25)
+    score = lambda x: quality_classifier._sigmoid(quality_classifier._forward(x, w)[1])
+    risk = 0.25 * (1 - score(good)).mean() + max(0.0, score(unlabelled).mean() - 0.25 * score(good).mean())
+    assert risk < 0.05 and (score(good) > 0.5).mean() > 0.95 and (score(bad) < 0.5).mean() > 0.95
+
+
 def test_classifier_on_awkward_rows(spark, awkward):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (6, 0), (9, None), (None, 1), (8, 1), (7, 1), (5, 0)], "doc_id long, quality int").selectExpr("*", "1 AS text")
     rows = quality_classifier.score_quality(awkward, labels).collect()
