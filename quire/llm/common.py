@@ -67,6 +67,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Bytes of text to a hash bucket; there are LEAST_BUCKETS or more, so that the top byte of a hash lies in its bucket's number.
+BUCKET_BYTES, LEAST_BUCKETS = 1 << 22, 256
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Hash buckets, a power of two, for the bytes of docs' texts."""
+    text_bytes = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    return max(LEAST_BUCKETS, 1 << (text_bytes // BUCKET_BYTES).bit_length())
+
+
+def dealt(rows: DataFrame, key: str, tasks: int) -> DataFrame:
+    """rows by a key over at least so many partitions, whatever their number of bytes."""
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), tasks), key)
+
+
 def is_small(df: DataFrame, most_rows: int) -> bool:
     """Whether df has at most most_rows rows; reads no more than needed to tell."""
     return df.limit(most_rows + 1).count() <= most_rows

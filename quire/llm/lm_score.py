@@ -39,15 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import bucket_count, dealt, materialize
 
 FOLDS, HELD_OUT = 7, 2
 #: Tokens to a chunk when counting or sending probes, where large chunks combine more, and when scoring with a broadcast filter.
 CHUNK_TOKENS, SCORE_TOKENS = 1 << 20, 1 << 18
 CACHED_WORDS = 300_000
 BITS_PER_EVENT, PROBES = 8, 3
-#: Bytes of text to a hash bucket; there are LEAST_BUCKETS or more.
-BUCKET_BYTES, LEAST_BUCKETS = 1 << 22, 256
 #: Bytes of a filter that is still broadcast.
 MOST_BROADCAST = 1 << 26
 #: Exact counts of at most this many words are broadcast, 16 bytes each.
@@ -225,15 +223,6 @@ def estimated(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
 
 
-def bucket_count(text_bytes: int) -> int:
-    return max(LEAST_BUCKETS, 1 << (text_bytes // BUCKET_BYTES).bit_length())
-
-
-def dealt(rows: DataFrame, buckets: int) -> DataFrame:
-    """rows by bucket, some buckets to a partition, however many there are."""
-    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 4), "bucket")
-
-
 def count_ngrams(train: DataFrame, buckets: int, bits_per_event: int = BITS_PER_EVENT) -> DataFrame:
     """(kind, h, c, segment, data) as a table: exact word counts (kind 0: h, c) and filter segments (kind 1)."""
 
@@ -255,7 +244,7 @@ def count_ngrams(train: DataFrame, buckets: int, bits_per_event: int = BITS_PER_
         return pd.concat([exact, pd.DataFrame({"kind": [1], "h": [0], "c": [0], "segment": [bucket], "data": [held]})])
 
     rows = train.select(F.col("text").cast("binary").alias("text")).mapInArrow(chunk_rows, "bucket long, order int, data binary")
-    return materialize(dealt(rows, buckets).groupBy("bucket").applyInPandas(totals, "kind int, h long, c long, segment int, data binary"))
+    return materialize(dealt(rows, "bucket", buckets // 4).groupBy("bucket").applyInPandas(totals, "kind int, h long, c long, segment int, data binary"))
 
 
 def frequent_words(words: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray, float]:
@@ -391,7 +380,7 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
 
     sent = source.mapInArrow(send, "chunk long, bucket long, data binary")
     held = segments.select(F.lit(None).cast("long").alias("chunk"), F.col("segment").cast("long").alias("bucket"), "data")
-    answers = dealt(sent.union(held), buckets).groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, data binary")
+    answers = dealt(sent.union(held), "bucket", buckets // 4).groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, data binary")
     return answers.groupBy("chunk").applyInArrow(finish, schema)
 
 
@@ -399,7 +388,7 @@ def score_texts(docs: DataFrame, bits_per_event: int = BITS_PER_EVENT) -> DataFr
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs."""
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"))
-    buckets = bucket_count(int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0))
+    buckets = bucket_count(docs)
     table = count_ngrams(docs.where("not held_out"), buckets, bits_per_event)
     words = table.where("kind = 0").select("h", "c")
     train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())

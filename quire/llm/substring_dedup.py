@@ -1,16 +1,18 @@
 """Removal of word passages that occur more than once, by Rabin-Karp window hashes.
 
 Every window of `window` words of every text has a rolling hash: with 64-bit word hashes w and an
-odd base b, sum(w[i+k] * b^k) modulo 2^64. (Two different windows agree with probability 2^-64;
-with 10^9 windows that makes about 0.03 expected false repeats, with 10^11 some 270 among them.)
+odd base b, sum(w[i+k] * b^k) modulo 2^64. Equal hashes count as equal windows; words aren't compared again. Two unrelated
+windows agree with probability 2^-64; two that have the same words in another order with at most 2^-57, as the
+differences of powers of b are divisible by up to 2^7 within a window. (With 10^9 windows that makes about 0.03 expected false
+repeats among unrelated ones, with 10^11 some 270.)
 
 Counting is one shuffle. A task groups its texts into chunks of about a million words and sends,
 for each chunk and hash bucket, one binary row with the distinct hashes of the chunk and where
 they start; what a chunk repeats within itself is combined beforehand, so that a passage
 shared by a third of all texts sends one entry for each chunk and not for each text. A bucket counts and answers
 each chunk with the starts whose hash is also elsewhere; a chunk merges these into maximal
-intervals for each text, which a join brings to the texts. The number of buckets follows
-spark.sql.shuffle.partitions, so that a bucket keeps its size when the corpus grows.
+intervals for each text, which a join brings to the texts, without a shuffle of these where few have any. The number of buckets follows
+the bytes of text, so that a bucket keeps its size when the corpus grows.
 
 Windows are judged on the input: all copies of a repeated passage go, not all but one.
 
@@ -30,6 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import bucket_count, dealt, guarded_broadcast, materialize
+
 WINDOW = 35
 CHUNK_WORDS = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -102,7 +106,7 @@ class _Chunk:
         hashes, at = hashes[by], at[by]
         cut = np.searchsorted(bucket[by], np.arange(self.buckets + 1))
         cut_many = np.searchsorted((many >> shift).astype(np.int64), np.arange(self.buckets + 1))
-        chunk = xxhash.xxh64_intdigest(w.tobytes() + repr(self.docs[0]).encode()) >> 1
+        chunk = xxhash.xxh64_intdigest(w.tobytes() + repr(self.docs).encode()) >> 1
         keys, blobs = [], []
         for k in range(self.buckets):
             a, b = cut[k], cut[k + 1]
@@ -203,10 +207,9 @@ def _intervals(window: int):
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_hash, begins, ends): the maximal word intervals [begin, end) to remove, for texts that have any."""
-    spark = docs.sparkSession
-    buckets = max(256, 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    answers = _window_rows(docs, window, buckets).groupBy("bucket").applyInPandas(_answer, "chunk long, data binary, answer boolean")
-    found = answers.groupBy("chunk").applyInPandas(_intervals(window), "doc_id long, text_hash long, begins array<long>, ends array<long>")
+    buckets = bucket_count(docs)
+    answers = dealt(_window_rows(docs, window, buckets), "bucket", buckets // 4).groupBy("bucket").applyInPandas(_answer, "chunk long, data binary, answer boolean")
+    found = dealt(answers, "chunk", buckets // 16).groupBy("chunk").applyInPandas(_intervals(window), "doc_id long, text_hash long, begins array<long>, ends array<long>")
     return found.dropDuplicates(["doc_id", "text_hash"])
 
 
@@ -214,7 +217,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text (the kept words, joined by one space), n_words and n_removed for each row of docs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    found = repeated_intervals(docs, window).withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
+    found = materialize(repeated_intervals(docs, window).withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"}))
+    found = guarded_broadcast(found)
     joined = docs.join(found, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
