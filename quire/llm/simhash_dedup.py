@@ -31,12 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import columns_of, free_names, guarded_broadcast, is_small, materialize, named
+from quire.llm.decontaminate import with_shingles
 from quire.llm.graph import connected_components
 
 HALF_BITS, CODE_BITS, HALF_DISTANCE, RADIUS = 32, 31, 2, 1
 MAX_DISTANCE = 4
 #: Anchors with more rows than this are compared row by block instead of pair by shift.
 DENSE_FROM = 48
+#: Near copies by similarity: words of a shingle, Jaccard similarity, bits of a fingerprint, blocks, and the most differing bits of 64.
+WIDTH, SIMILARITY, WIDE_BITS, WIDE_BLOCKS, WIDE_DISTANCE = 5, 0.8, 512, 200, 20
+_MULTIPLIERS = np.random.default_rng(64).integers(1 << 32, 1 << 63, WIDE_BITS // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -91,7 +95,7 @@ def _masks() -> list[np.ndarray]:
 
 
 def _syndromes(half: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(half), dtype=np.uint64)
+    out = np.zeros_like(half)
     for i in range(CODE_BITS):
         out ^= ((half >> np.uint64(i)) & np.uint64(1)) * np.uint64(i + 1)
     return out.astype(np.int64)
@@ -229,25 +233,31 @@ def simhash_components(docs: DataFrame, width: int = 4, distance: int = MAX_DIST
 
 
 def keep_one(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row of docs for each component, the one with the least doc_id.
+    """One row of docs for each component of fingerprints, the one with the least doc_id.
 
     Each row is judged on its own text, known by doc_id and the text's hash: rows of one doc_id
     with unlike texts are in components of their own. Of the rows of a component that share its
     least doc_id the one with the least hash of its text stays, of equal rows one; rows without a doc_id cannot be named and stay.
+    """
+    fps = materialize(fingerprints(docs, width, hashed=True))
+    return _kept(docs, fps.where("doc_id is not null").join(_components(fps, distance), "fp"))
+
+
+def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs without the rows that found (doc_id, text_hash, root, component_id) makes superfluous.
 
     The rows are shuffled only if those that go are too many to broadcast; rows that stand in docs more than once are
     told apart by a hash of their other columns.
     """
-    fps = materialize(fingerprints(docs, width, hashed=True))
-    found = fps.where("doc_id is not null").join(_components(fps, distance), "fp")
-    rows = materialize(found.groupBy("doc_id", "text_hash", "fp", "component_id", "root").agg(F.count("*").alias("n")))
+    rows = materialize(found.groupBy("doc_id", "text_hash", "component_id", "root").agg(F.count("*").alias("n")))
     first = rows.where("doc_id = component_id").groupBy("root").agg(F.min("text_hash").alias("kept_hash"))
     chosen = rows.join(first, "root", "left").withColumn("stays", (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("kept_hash")))
+    chosen = materialize(chosen.where("not stays or n > 1"))
     d, t, h = free_names(docs, "gone_id", "gone_hash", "order_hash")
     known = (F.col("doc_id") == F.col(d)) & (_text_hash() == F.col(t))
     keys = lambda df: guarded_broadcast(materialize(df.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t))))
     out = docs.join(keys(chosen.where("not stays")), known, "left_anti")
-    twice = materialize(chosen.where("stays and n > 1").select("doc_id", "text_hash"))
+    twice = chosen.where("stays and n > 1")
     if is_small(twice, 0):
         return out
     twice = keys(twice)
@@ -256,3 +266,153 @@ def keep_one(docs: DataFrame, width: int = 4, distance: int = MAX_DISTANCE) -> D
     again = again.groupBy("doc_id", _text_hash().alias(t)).agg(F.min_by(F.struct(*columns_of(docs)), h).alias(d))
     again = again.select(*[F.col(d)[c].alias(c) for c in docs.columns])
     return out.join(twice, known, "left_anti").unionByName(again)
+
+
+# Near copies by the similarity of their shingles
+
+
+def wide_fingerprint(text: bytes | None, width: int) -> np.ndarray:
+    """WIDE_BITS bits of SimHash, as zeros and ones: each shingle's XXH64 is mixed anew for each 64 of them."""
+    words = (text or b"").lower().split()
+    out = np.zeros(WIDE_BITS, dtype=np.uint8)
+    if not words:
+        return out
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.r_[0, ends[:-1] + 1]
+    many = max(1, len(words) - width + 1)
+    spans = zip(starts[:many].tolist(), ends[len(words) - many :].tolist() if len(words) >= width else [len(joined)], strict=True)
+    hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in spans], dtype=np.uint64)
+    counts = np.zeros(WIDE_BITS, dtype=np.int64)
+    for at in range(0, many, 4096):
+        wide = hashes[at : at + 4096, None] * _MULTIPLIERS[None, :]
+        wide = (wide ^ (wide >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        wide ^= wide >> np.uint64(32)
+        counts += np.unpackbits(wide.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    out[2 * counts > many] = 1
+    return out
+
+
+@cache
+def _blocks(blocks: int) -> np.ndarray:
+    """The bits of each block, as weights of 2^0 to 2^30 of the bits of a wide fingerprint."""
+    rng = np.random.default_rng(31)
+    out = np.zeros((WIDE_BITS, blocks))
+    for k in range(blocks):
+        out[rng.choice(WIDE_BITS, CODE_BITS, replace=False), k] = 2.0 ** np.arange(CODE_BITS)
+    return out
+
+
+def home_anchors(bits: np.ndarray, blocks: int) -> np.ndarray:
+    """For rows of wide fingerprints, the key of the one [31,26] code word within RADIUS of each block."""
+    values = (bits.astype(np.float64) @ _blocks(blocks)).astype(np.uint64)
+    flip = np.array([0] + [1 << i for i in range(CODE_BITS)], dtype=np.uint64)
+    return (values ^ flip[_syndromes(values)]) | (np.arange(blocks, dtype=np.uint64) << np.uint64(32))[None, :]
+
+
+def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_hash, wide) for each row of docs; wide has the bits of the fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [np.packbits(wide_fingerprint(x, width)).tobytes() for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(wide, pa.binary())], ["doc_id", "text_hash", "wide"])
+
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    return source.mapInArrow(run, "doc_id long, text_hash long, wide binary")
+
+
+def wide_visits(nodes: DataFrame, blocks: int) -> DataFrame:
+    """(node, wide) -> (anchor, node, fp): a row for each block; fp is 64 bits of the fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                wide = np.frombuffer(b"".join(part.column("wide").to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
+                fp = np.ascontiguousarray(wide[:, :8]).view(np.int64).ravel()
+                node = part.column("node").to_numpy(zero_copy_only=False)
+                anchors = home_anchors(np.unpackbits(wide, axis=1), blocks)
+                columns = [anchors.ravel().view(np.int64), np.repeat(node, blocks), np.repeat(fp, blocks)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "node", "fp"])
+
+    return nodes.mapInArrow(run, "anchor long, node long, fp long")
+
+
+def _close(nodes: np.ndarray, fps: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of nodes that join all that are within WIDE_DISTANCE of each other: close ones first, then what is left apart; never all pairs."""
+    nodes, at = np.unique(nodes, return_index=True)
+    fps, label, out = fps[at], np.arange(len(nodes)), []
+    for distance in (WIDE_DISTANCE // 2, WIDE_DISTANCE):
+        for i in range(len(nodes)):
+            rest = np.flatnonzero(label != label[i])
+            if not len(rest):
+                return out
+            near = rest[np.bitwise_count(fps[rest] ^ fps[i]) <= distance]
+            if len(near):
+                trees, first = np.unique(label[near], return_index=True)
+                out += [(int(nodes[i]), int(nodes[j])) for j in near[first].tolist()]
+                label[np.isin(label, trees)] = label[i]
+    return out
+
+
+def close_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b) of nodes that meet at an anchor (anchor, node, fp) and are close there, distinct."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 3
+
+        def out(whole: int) -> pa.RecordBatch:
+            nonlocal held
+            keys, nodes, fps = (x[:whole] for x in held)
+            held = [x[whole:] for x in held]
+            begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if whole else np.zeros(0, dtype=np.int64)
+            size = np.diff(np.r_[begin, whole])
+            found = [p for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True) for p in _close(nodes[b : b + n], fps[b : b + n].view(np.uint64))]
+            pairs = np.unique(np.sort(np.array(found, dtype=np.int64).reshape(-1, 2), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        parts: list[pa.RecordBatch] = []
+        for batch in batches:
+            parts.append(batch)
+            if sum(p.num_rows for p in parts) >= 1 << 18:
+                held = [np.concatenate([x, *[p.column(k).to_numpy(zero_copy_only=False) for p in parts]]) for k, x in enumerate(held)]
+                parts = []
+                yield out(int(np.searchsorted(held[0], held[0][-1])))
+        held = [np.concatenate([x, *[p.column(k).to_numpy(zero_copy_only=False) for p in parts]]) for k, x in enumerate(held)]
+        yield out(len(held[0]))
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_components(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, blocks: int = WIDE_BLOCKS) -> DataFrame:
+    """doc_id, text_hash, root and component_id for each row of docs: components of texts whose sets of word shingles have a Jaccard similarity as asked.
+
+    At similarity 0.8 two texts differ in 15 % of a SimHash's bits; no code of radius 1 or 2 over 64 bits covers that. So
+    a fingerprint has WIDE_BITS bits, of which `blocks` blocks of 31 are drawn; the [31,26] Hamming code is the anchors of a
+    block, and a text goes to the anchor that its block lies within RADIUS of. Two such texts meet at a given block with a probability
+    of 1.4 %, at one of 200 with 93 %; at 0.85 with more than 99 %. What meets and is within WIDE_DISTANCE of 64 bits is
+    verified by the shingles themselves. Within an anchor only pairs that join what is not joined yet are verified, so a link is also
+    missed if all chains of such pairs have one that isn't similar enough; each anchor makes its own. Texts without words are alike.
+    """
+    rows = materialize(wide_fingerprints(docs, width))
+    every = rows.groupBy(F.col("text_hash").alias("node")).agg(F.first("wide").alias("wide"))
+    # A text becomes as many rows as there are blocks: dealt over all tasks before that, by another expression than the aggregation.
+    every = every.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("node"))
+    pairs = materialize(close_pairs(wide_visits(every, blocks)))
+    nodes = guarded_broadcast(materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "of")))
+    asked = docs.select(_text_hash().alias("node"), "text").join(nodes, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
+    sets = materialize(with_shingles(asked, "text", "hs", width).select("node", F.array_distinct("hs").alias("hs")))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("hs").alias(f"{c}_hs"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("a_hs", "b_hs")))
+    like = F.coalesce(F.try_divide("shared", F.size("a_hs") + F.size("b_hs") - F.col("shared")), F.lit(1.0))
+    parts = connected_components(both.where(like >= similarity).select("a", "b"))
+    known = rows.select("doc_id", "text_hash").join(parts.withColumnRenamed("node", "text_hash"), "text_hash", "left").withColumn("root", F.coalesce("root", "text_hash"))
+    least = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return known.join(least, "root").select("doc_id", "text_hash", "root", "component_id")
+
+
+def keep_one_similar(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of docs for each component of similar texts, chosen as keep_one does; rows without a doc_id stay."""
+    return _kept(docs, similar_components(docs, width, similarity).where("doc_id is not null"))

@@ -113,6 +113,51 @@ def test_dense_anchors_give_spanning_forests():
     assert len(simhash_dedup._dense(crowd, 4)) == len(crowd) - 1
 
 
+def test_similar_texts_in_crowds_and_chains(spark):
+    """Groups of edited copies of every size, and texts that are alike by less than 0.8, against the sets themselves."""
+    rng = random.Random(9)
+    docs, sets = [], []
+    for base in range(12):
+        words = [f"b{base}w{k}" for k in range(rng.randint(60, 200))]
+        for copy in range((1, 2, 3, 60)[base % 4]):
+            edits = rng.sample(range(len(words)), rng.choice((1, 1, 2, 12)))
+            docs.append(" ".join(f"e{copy}" if k in edits else w for k, w in enumerate(words)))
+    docs += ["", " ", "few words", "few words", "Few WORDS"]
+    for text in docs:
+        w = lower(text).split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(docs)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if x == sets[j] or len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                label = [label[j] if v == label[i] else v for v in label]
+    least = {v: label.index(v) for v in label}
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_components(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert got == {i: least[v] for i, v in enumerate(label)}
+    kept = simhash_dedup.keep_one_similar(spark.createDataFrame([*enumerate(docs), (None, docs[0]), (3, docs[3])], "doc_id long, text string"))
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*least.values(), None], key=str)
+
+
+def test_recall_of_blocks():
+    """Texts with a share of edited words meet at an anchor nearly always from a similarity of 0.8 on."""
+    rng = random.Random(4)
+    met = []
+    for k in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 300))]
+        other = list(words)
+        while True:
+            tried = list(other)
+            tried[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, tried))
+            if len(a & b) < 0.8 * len(a | b):
+                break
+            other = tried
+        bits = np.stack([simhash_dedup.wide_fingerprint(" ".join(w).encode(), 5) for w in (words, other)])
+        anchors = simhash_dedup.home_anchors(bits, simhash_dedup.WIDE_BLOCKS)
+        met.append(bool((anchors[0] == anchors[1]).any()) and int((bits[0, :64] != bits[1, :64]).sum()) <= simhash_dedup.WIDE_DISTANCE)
+    assert np.mean(met) > 0.9
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in graph.connected_components(edges).collect()}
@@ -350,6 +395,25 @@ def slow_metrics(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(hit), len(lines)
 
 
+def slow_quality(docs):
+    """Whether each (text, lang, source) passes the base limits and those of its group."""
+    ratios = []
+    for text, *group in docs:
+        n, chars, symbols, again, repeat, lines = slow_metrics(text)
+        own = {"symbols": symbols * 1000 // max(1, n), "repeats": repeat * 1000 // max(1, n), "lines": again * 1000 // max(1, lines), "length": chars * 100 // max(1, n)}
+        ratios.append((tuple(group), own, n, n < 50 or 100 * repeat > 50 * n))
+    bin_ = lambda v: v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7)
+    limits = {}
+    for group in {r[0] for r in ratios}:
+        for k, floor in quality_rules.FLOORS.items():
+            held = sorted(bin_(r[k]) for g, r, n, _ in ratios if g == group and n)
+            if held:
+                q1, q3 = (held[-(-len(held) * q // 4) - 1] for q in (1, 3))
+                reach = quality_rules.SPREAD * max(q3 - q1, floor)
+                limits[group, k] = (q1 - reach if k == "length" else 0, q3 + reach)
+    return [not failed and all(limits[group, k][0] <= own[k] <= limits[group, k][1] for k in own) for group, own, _, failed in ratios]
+
+
 def test_quality_metrics(awkward):
     for text in [r[1] for r in AWKWARD] + ["a b c a b c", "a\na\n \n \nb", "#*$%&|<> é # x"]:
         assert quality_rules.measure(text.encode() if text is not None else None) == slow_metrics(text)
@@ -368,20 +432,7 @@ def test_quality_limits_against_brute_force(spark):
     docs += [(900, " ".join(f"{'y' * 400}{k}" for k in range(60)), "zh", "s"), (901, " ".join(f"w{k} {'#' * 30}" for k in range(60)), "en", "s"), (902, " ".join(f"w{k}" for k in range(60)), "zh", "s")]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(df).collect()}
-    ratios = {}
-    for i, text, *group in docs:
-        n, chars, symbols, again, repeat, lines = slow_metrics(text)
-        ratios[i] = (tuple(group), {"symbols": symbols * 1000 // n, "repeats": repeat * 1000 // n, "lines": again * 1000 // lines, "length": chars * 100 // n}, n < 50 or 100 * repeat > 50 * n)
-    bin_ = lambda v: v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7)
-    want = {}
-    for i, (group, own, failed) in ratios.items():
-        fine = True
-        for k, floor in quality_rules.FLOORS.items():
-            held = sorted(bin_(r[k]) for g, r, _ in ratios.values() if g == group)
-            q1, q3 = (held[-(-len(held) * q // 4) - 1] for q in (1, 3))
-            reach = quality_rules.SPREAD * max(q3 - q1, floor)
-            fine &= own[k] <= q3 + reach and (k != "length" or own[k] >= q1 - reach)
-        want[i] = fine and not failed
+    want = dict(zip([d[0] for d in docs], slow_quality([d[1:] for d in docs]), strict=True))
     assert got == want and not got[900] and not got[901] and not got[902] and sum(got.values()) > 200
 
 
