@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quire.functions.geometry import element_id
+from quire.functions.geometry import bounding_box, corners, element_id, to_canonical
 
 MIN_GAP = 8
 EDGE_TOLERANCE = 0.02
@@ -22,6 +22,13 @@ def assign_ids(boxes: DataFrame) -> DataFrame:
     return out.withColumn("id", element_id(F.col("page"), F.col("index")))
 
 
+def content_to_canonical(elements: DataFrame) -> DataFrame:
+    """elements with lines and cell_boxes in the canonical frame, from polygons and boxes of the deskewed frame and deskew_matrix."""
+    m = F.col("deskew_matrix")
+    line = lambda x: x.withField("polygon", to_canonical(x["polygon"], m))
+    return elements.withColumns({"lines": F.transform("lines", line), "cell_boxes": F.transform("cell_boxes", lambda b: bounding_box(to_canonical(corners(b), m)))})
+
+
 def link_tables(elements: DataFrame, tolerance: float = EDGE_TOLERANCE) -> DataFrame:
     """(doc_id, head, tail): the last table of a page that goes on as the first one of the next page.
 

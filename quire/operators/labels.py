@@ -16,6 +16,19 @@ MIN_WIDTH, MIN_HEIGHT, MIN_LINES = 16, 8, 50
 VARIANTS = ("blur", "noise", "jpeg")
 
 
+def text_lines(elements: DataFrame) -> DataFrame:
+    """(doc_id, page, id, pos, line.*) of the lines of text elements (doc_id, page, id, category, kind, lines); other elements have none."""
+    text = elements.where("category = 'text' and kind = 'text'")
+    return text.select("doc_id", "page", "id", F.posexplode("lines").alias("pos", "line")).select("doc_id", "page", "id", "pos", "line.*")
+
+
+def with_crops(aligned: DataFrame, crops: DataFrame) -> DataFrame:
+    """Aligned lines (doc_id, page, line_no, ...) whose crop exists, by the crop's file name pNNNN_lNNNN.png; crops: doc_id, path."""
+    name = F.regexp_extract("path", r"p(\d+)_l(\d+)\.png$", 1), F.regexp_extract("path", r"p(\d+)_l(\d+)\.png$", 2)
+    cut = crops.select("doc_id", "path", *[n.try_cast("int").alias(c) for n, c in zip(name, ("page", "line_no"), strict=True)])
+    return aligned.join(cut, ["doc_id", "page", "line_no"])
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Lines of text elements (doc_id, page, id, pos, ...) with line_no from 0 within a page."""
     by = Window.partitionBy("doc_id", "page").orderBy("id", "pos")
@@ -55,6 +68,17 @@ def report(aligned: DataFrame) -> DataFrame:
     return aligned.groupBy("doc_id").agg(F.count_if(F.col("label").isNotNull()).alias("written"), F.count_if(F.col("label").isNull()).alias("rejected"))
 
 
+def skipped_documents(lines: DataFrame, gold: DataFrame) -> DataFrame:
+    """(doc_id, pages, reason): documents with lines and without any gold text, which get no labels."""
+    per = lines.groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
+    return per.join(gold.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("reason", F.lit("no ground truth"))
+
+
+def rejects(aligned: DataFrame) -> DataFrame:
+    """(name, reason) of the lines without a label, for the log."""
+    return aligned.where("label is null").select(F.format_string("%s/p%04d_l%04d", F.col("doc_id").cast("string"), "page", "line_no").alias("name"), "reason")
+
+
 def augmented(labels: DataFrame) -> DataFrame:
     """Each label once for every degradation, with a seed that makes noise repeatable."""
     out = labels.withColumn("variant", F.explode(F.array(*[F.lit(v) for v in VARIANTS])))

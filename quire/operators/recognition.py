@@ -23,6 +23,18 @@ def pair(predicted: DataFrame, gold: DataFrame) -> DataFrame:
     return p.join(g, "doc_id", "full").select("doc_id", "predicted", "gold", reason.alias("reason"))
 
 
+def only_document(rows: DataFrame, doc_id: str | None) -> DataFrame:
+    """The rows of one document, or all."""
+    return rows if doc_id is None else rows.where(F.col("doc_id") == doc_id)
+
+
+def require_parsed(candidates: DataFrame) -> DataFrame:
+    """candidates (doc_id, p, g, n_predicted, n_gold, ...), or an error where an extracted table has no tree."""
+    side = F.when(F.col("n_predicted") == 0, F.concat(F.lit("predicted table "), F.col("p").cast("string"))).when(F.col("n_gold") == 0, F.concat(F.lit("gold table "), F.col("g").cast("string")))
+    error = F.raise_error(F.concat(F.col("doc_id").cast("string"), F.lit(": "), side, F.lit(" can't be parsed")))
+    return candidates.withColumn("n_gold", F.when(side.isNull(), F.col("n_gold")).otherwise(error.cast("int")))
+
+
 def score_wer(pairs: DataFrame) -> DataFrame:
     """(doc_id, errors, n_words, ignored, wer) of paired texts; nulls where the gold has no words."""
     both = spread(pairs.where("reason is null"), "doc_id").select("doc_id", wer(before_aside(F.col("predicted")), F.col("gold")).alias("s"))
@@ -58,7 +70,8 @@ def table_candidates(pairs: DataFrame, most: int = MOST_CANDIDATES) -> tuple[Dat
     counts = both.select("doc_id", F.size("ps").alias("n_pred"), F.size("gs").alias("n_gold"), note.alias("note"))
     each = both.where(~over).select("doc_id", F.posexplode("ps").alias("p", "pt"), "gs").select("doc_id", "p", "pt", F.posexplode("gs").alias("g", "gt"))
     each = spread(each, "doc_id", "p", "g").select("doc_id", "p", "g", table_similarity("pt", "gt").alias("s"))
-    return each.select("doc_id", "p", "g", "s.teds_struct", "s.teds"), counts
+    each = require_parsed(each.select("doc_id", "p", "g", "s.*"))
+    return each.where("n_gold > 0").select("doc_id", "p", "g", "teds_struct", "teds"), counts
 
 
 _PAIR = T.StructType([T.StructField("p", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("teds_struct", T.DoubleType()), T.StructField("teds", T.DoubleType())])

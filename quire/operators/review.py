@@ -39,8 +39,23 @@ def parse_pages(files: DataFrame) -> DataFrame:
     return out.select("doc_id", "path", "page", "declared", "lines", error.alias("error"))
 
 
+class ReviewError(ValueError):
+    """Review files that can't be applied."""
+
+
+def require_valid(files: DataFrame) -> DataFrame:
+    """files, or an error that names the first one that doesn't parse; no files at all are an error too."""
+    parsed = parse_pages(files)
+    bad = parsed.where("error is not null").orderBy("doc_id", "path").head(1)
+    if bad:
+        raise ReviewError(f"{bad[0].path}: {bad[0].error}")
+    if not files.head(1):
+        raise ReviewError("no review pages")
+    return files
+
+
 def corrections(files: DataFrame) -> DataFrame:
-    """(doc_id, page, line_no, text) of valid files; of two files for a page the later path counts."""
+    """(doc_id, page, line_no, text) of valid files (see require_valid for others); of two files for a page the later path counts."""
     good = parse_pages(files).where("error is null").groupBy("doc_id", "page").agg(F.max_by("lines", "path").alias("lines"))
     return good.select("doc_id", "page", F.posexplode("lines").alias("line_no", "text"))
 

@@ -73,14 +73,15 @@ def category_id(category: Column) -> Column:
 def annotations(elements: DataFrame) -> DataFrame:
     """(doc_id, id, annotation): COCO annotations as JSON; what an element lacks is left out; logprob hides rec_score.
 
-    elements: doc_id, id, page, category, bbox, reading_order, render, polygon, rec_score, logprob, flags, text, html.
+    elements: doc_id, id, page, category, bbox, reading_order, render, polygon, rec_score, flags, text, html and, if they have them, logprob, latex and path.
     """
     some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    logprob, more = _part(elements, "logprob", "double"), [c for c in ("latex", "path") if c in elements.columns]
     ring = F.when(F.size("polygon") > 0, F.array(F.flatten(F.transform("polygon", lambda p: F.array(p["x"], p["y"])))))
     made = F.struct(
         "id", F.col("page").alias("image_id"), category_id(F.col("category")).alias("category_id"),
         F.array("bbox.x", "bbox.y", "bbox.w", "bbox.h").alias("bbox"), (F.col("bbox.w").cast("long") * F.col("bbox.h")).alias("area"), F.lit(0).alias("iscrowd"),
-        ring.alias("segmentation"), "reading_order", "render", "logprob", F.when(F.col("logprob").isNull(), F.col("rec_score")).alias("rec_score"), some("flags").alias("flags"), "text", "html",
+        ring.alias("segmentation"), "reading_order", "render", logprob.alias("logprob"), F.when(logprob.isNull(), F.col("rec_score")).alias("rec_score"), some("flags").alias("flags"), "text", "html", *more,
     )
     return elements.select("doc_id", "id", F.to_json(made).alias("annotation"))
 
@@ -112,3 +113,74 @@ def to_snapshot(elements: DataFrame) -> DataFrame:
     rows = elements.select("doc_id", "id", plain.alias("plain"), scores.alias("scores"), "rec_score", "logprob").select("doc_id", "id", one.alias("one"))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "one"))), lambda r: r["one"]), ",")
     return rows.groupBy("doc_id").agg(F.concat(F.lit(f'{{"schema":{SCHEMA_VERSION},"elements":['), listed, F.lit("]}")).alias("snapshot"))
+
+
+_LINE = "struct<text:string,text_ocr:string,polygon:array<array<double>>,confidence:double>"
+_GEOMETRY = "struct<page:int,width_px:int,height_px:int,dpi:int,rotation_applied:int,deskew_angle:double,deskew_matrix:array<double>,pdf_width_pt:double,pdf_height_pt:double>"
+_CONTENT = f"struct<kind:string,text:string,lines:array<{_LINE}>,html:string,n_rows:int,n_cols:int,cell_boxes:array<array<int>>,latex:string,path:string>"
+_ELEMENT = f"struct<id:bigint,page:int,category:string,bbox:array<int>,polygon:array<array<double>>,reading_order:int,render:string,layout_score:double,caption_id:bigint,continues_from:bigint,flags:array<string>,content:{_CONTENT},rec_score:double,logprob:struct<sum:double,mean:double,min:double,n_tokens:int>>"
+#: What a document's snapshot holds, and a page's.
+DOCUMENT_SCHEMA = f"schema int, source string, doc_sha256 string, pipeline_version string, pages array<{_GEOMETRY}>, elements array<{_ELEMENT}>, errors array<struct<page:int,stage:string,message:string>>"
+PAGE_SCHEMA = f"schema int, geometry {_GEOMETRY}, elements array<{_ELEMENT}>"
+#: The parts of each kind of content, in order.
+PARTS = {"text": ("text", "lines"), "table": ("html", "n_rows", "n_cols", "cell_boxes"), "formula": ("latex",), "figure": ("path",)}
+_PART_TYPES = {"text": "string", "lines": f"array<{_LINE}>", "html": "string", "n_rows": "int", "n_cols": "int", "cell_boxes": "array<array<int>>", "latex": "string", "path": "string"}
+_KEEP = {"ignoreNullFields": "false"}
+
+
+def _part(elements: DataFrame, name: str, kind: str) -> Column:
+    """A column of elements, or null of its kind; an absent list is empty."""
+    if name in elements.columns:
+        return F.col(name)
+    return (F.array() if kind.startswith("array") else F.lit(None)).cast(kind)
+
+
+def _spliced(*parts: Column) -> Column:
+    """JSON objects as one, in order."""
+    inner = [F.substring(p, F.lit(2), F.length(p) - 2) for p in parts]
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.when(i != "", i) for i in inner]), F.lit("}"))
+
+
+def element_json(elements: DataFrame) -> Column:
+    """An element as JSON, nulls kept; rec_score and logprob appear if either is known, and no content is null."""
+    plain = [("bbox", F.array("bbox.x", "bbox.y", "bbox.w", "bbox.h")), ("polygon", F.transform(_part(elements, "polygon", "array<struct<x:double,y:double>>"), lambda p: F.array(p["x"], p["y"])))]
+    plain = dict(plain)
+    names = ("id", "page", "category", "bbox", "polygon", "reading_order", "render", "layout_score", "caption_id", "continues_from", "flags")
+    types = {"layout_score": "double", "caption_id": "bigint", "continues_from": "bigint", "flags": "array<string>"}
+    own = F.to_json(F.struct(*[(plain.get(n) if n in plain else _part(elements, n, types.get(n, "string"))).alias(n) for n in names]), _KEEP)
+    content = F.lit("null")
+    for kind, parts in PARTS.items():
+        made = F.to_json(F.struct(F.col("kind"), *[_part(elements, c, _PART_TYPES[c]).alias(c) for c in parts]), _KEEP)
+        content = F.when(F.col("kind") == kind, made).otherwise(content)
+    content = F.concat(F.lit('{"content":'), content, F.lit("}"))
+    scores = F.struct(_part(elements, "rec_score", "double").alias("rec_score"), _part(elements, "logprob", "struct<sum:double,mean:double,min:double,n_tokens:int>").alias("logprob"))
+    known = scores["rec_score"].isNotNull() | scores["logprob"].isNotNull()
+    return _spliced(own, content, F.when(known, F.to_json(scores, _KEEP)).otherwise(F.lit("{}")))
+
+
+def to_document_json(documents: DataFrame, pages: DataFrame, elements: DataFrame, errors: DataFrame) -> DataFrame:
+    """(doc_id, snapshot): a whole document as JSON, nulls kept.
+
+    documents: doc_id, source, doc_sha256, pipeline_version; pages: doc_id and page geometries; errors: doc_id, page, stage, message.
+    """
+    listed = lambda rows, order: F.transform(F.array_sort(F.collect_list(F.struct(*order, "json"))), lambda r: r["json"])
+    geometry = [c.split(":")[0] for c in _GEOMETRY[7:-1].replace("array<double>", "").split(",")]
+    parts = {
+        "pages": pages.select("doc_id", "page", F.to_json(F.struct(*[F.col(c) if c in pages.columns else F.lit(None).cast("double").alias(c) for c in geometry]), _KEEP).alias("json")).groupBy("doc_id").agg(listed(pages, ["page"]).alias("pages")),
+        "elements": elements.select("doc_id", "id", element_json(elements).alias("json")).groupBy("doc_id").agg(listed(elements, ["id"]).alias("elements")),
+        "errors": errors.select("doc_id", "page", F.to_json(F.struct("page", "stage", "message"), _KEEP).alias("json")).groupBy("doc_id").agg(listed(errors, ["page"]).alias("errors")),
+    }
+    head = F.struct(F.lit(SCHEMA_VERSION).alias("schema"), *[(F.col(c) if c in documents.columns else F.lit(None).cast("string")).alias(c) for c in ("source", "doc_sha256", "pipeline_version")])
+    out = documents.select("doc_id", F.to_json(head, _KEEP).alias("head"))
+    for name, rows in parts.items():
+        out = out.join(rows, "doc_id", "left")
+    bodies = [F.concat(F.lit(f'{{"{name}":['), F.array_join(F.coalesce(name, F.array().cast("array<string>")), ","), F.lit("]}")) for name in parts]
+    return out.select("doc_id", _spliced(F.col("head"), *bodies).alias("snapshot"))
+
+
+def decoded_elements(snapshots: DataFrame) -> DataFrame:
+    """The elements of decoded snapshots (doc_id, elements) as rows, their content in columns, as the writers take them."""
+    e = snapshots.select("doc_id", F.explode("elements").alias("e")).select("doc_id", "e.*")
+    box = F.struct(*[F.get("bbox", i).alias(k) for i, k in enumerate("xywh")])
+    ring = F.transform("polygon", lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y")))
+    return e.withColumns({"bbox": box, "polygon": ring, **{c: F.col(f"content.{c}") for c in ("kind", *_PART_TYPES)}}).drop("content")

@@ -7,9 +7,13 @@ import json
 from dataclasses import asdict, dataclass, fields, replace
 from pathlib import Path
 
-ENGINES, LAYOUTS, TABLES, OUTPUTS = ("tesseract", "paddle", "easyocr"), ("none", "blocks"), ("none", "grid"), ("markdown", "coco")
+#: The words that settings files use.
+ENGINES = ("tesseract", "paddleocr", "easyocr")
+LAYOUTS = ("tesseract", "none")
+TABLES = ("cv", "none")
+OUTPUTS = ("markdown", "coco")
 STEPS = ("orientation", "deskew", "denoise", "grayscale", "binarize")
-FOLDERS = ("input_dir", "output_dir", "review_dir", "artifact_dir", "ground_truth_dir")
+FOLDERS = ("input_dir", "output_dir", "review_dir", "artifacts_dir", "ground_truth_dir")
 
 
 class ConfigError(ValueError):
@@ -21,15 +25,15 @@ class Config:
     engine: str = "tesseract"
     langs: tuple[str, ...] = ("vie",)
     dpi: int = 300
-    preprocess_steps: tuple[str, ...] = ("orientation", "deskew")
-    layout: str = "blocks"
-    table: str = "grid"
+    preprocess_steps: tuple[str, ...] = ("orientation", "deskew", "denoise")
+    layout: str = "tesseract"
+    table: str = "cv"
     outputs: tuple[str, ...] = ("markdown",)
     qa_threshold: float = 0.75
     input_dir: str = "data/input"
     output_dir: str = "data/output"
     review_dir: str = "data/review"
-    artifact_dir: str = "data/artifacts"
+    artifacts_dir: str = "data/artifacts"
     ground_truth_dir: str = "data/ground_truth"
 
     def __post_init__(self) -> None:
@@ -38,8 +42,8 @@ class Config:
                 raise ConfigError(f"{name}: {unknown[0]!r} is none of {', '.join(known)}")
         if not self.langs or not all(isinstance(x, str) and x for x in self.langs):
             raise ConfigError("langs: a list of names is needed")
-        if self.layout == "blocks" and self.engine != "tesseract":
-            raise ConfigError("layout: blocks are found by tesseract only")
+        if self.layout == "tesseract" and self.engine != "tesseract":
+            raise ConfigError("layout: only the engine tesseract reports the blocks that the layout tesseract needs")
         if not 0 <= self.qa_threshold <= 1:
             raise ConfigError("qa_threshold: a number from 0 to 1 is needed")
 
@@ -74,6 +78,12 @@ def load_config(path: str | Path | None = None, **overrides) -> Config:
     return replace(Config(), **given)
 
 
+def run_config(path: str | Path | None = None, default: str | Path = "config.yaml", out: str | None = None) -> Config:
+    """The settings of a command: of a file that is named, else of the default file if there is one; `out` replaces output_dir."""
+    chosen = path or (default if Path(default).is_file() else None)
+    return load_config(chosen, output_dir=out)
+
+
 def evaluation_dirs(pred_dir: str | None, gt_dir: str | None, base: str | Path, settings: dict | None = None) -> tuple[Path, Path]:
     """Folders of predictions and gold: as given, else from settings relative to base; a missing one is an error."""
     out = []

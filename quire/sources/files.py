@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.geometry import geometry_error
+from quire.operators.serialize import DOCUMENT_SCHEMA
+from quire.operators.serialize import PAGE_SCHEMA as ARTIFACT_SCHEMA
+
 IMAGES = ("png", "jpg", "jpeg", "tif", "tiff", "bmp", "webp")
 TEXTS = ("md", "markdown", "txt", "docx")
 PAGE_SCHEMA = "doc_id string, page int, content binary, width_px int, height_px int, dpi int, rotation_applied int, deskew_angle double, deskew_matrix array<double>, pdf_width_pt double, pdf_height_pt double"
@@ -200,15 +204,28 @@ def gold_records(texts: DataFrame, existing: DataFrame, originals: DataFrame) ->
     return new.select("doc_id", F.to_json(record).alias("json"), F.col("text").alias("markdown"))
 
 
-def read_snapshots(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Document snapshots of schema version 1 (columns `schema`, ...); another version is an error."""
-    rows = spark.read.schema(schema).json(path, multiLine=True)
-    return rows.withColumn("schema", F.when(F.col("schema") == 1, F.col("schema")).otherwise(F.raise_error(F.lit("unknown snapshot schema")).cast("int")))
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(system.globStatus(folder))
+
+
+def read_snapshots(spark: SparkSession, path: str, schema: str | T.StructType = DOCUMENT_SCHEMA) -> DataFrame:
+    """(doc_id, schema, ...) of document snapshots, files <doc_id>.document.json; a missing file and another schema version are errors."""
+    if not exists(spark, path):
+        raise SourceError(f"{path}: no snapshot there")
+    version = F.when(F.col("schema") == 1, F.col("schema")).otherwise(F.raise_error(F.concat(F.lit("unsupported schema "), F.coalesce(F.col("schema").cast("string"), F.lit("none")))).cast("int"))
+    doc_id = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1), r"(\.document)?\.json$", "").alias("doc_id")
+    rows = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    return rows.select(doc_id, "*").withColumn("schema", version)
 
 
-def read_artifacts(spark: SparkSession, root: str, sha256: str, version: str, schema: str | T.StructType) -> DataFrame:
-    """Artifact pages below root/artifacts/<first 12 of sha256>/<version>/pages."""
-    return read_snapshots(spark, f"{root}/artifacts/{sha256[:12]}/{version}/pages", schema)
+def read_artifacts(spark: SparkSession, root: str, sha256: str, version: str) -> DataFrame:
+    """Pages (doc_id, schema, geometry, elements) below root/<first 12 of sha256>/<version>/pages; a wrong geometry is an error."""
+    g = F.col("geometry")
+    wrong = geometry_error(g["rotation_applied"], g["deskew_matrix"], g["pdf_width_pt"], g["pdf_height_pt"])
+    rows = read_snapshots(spark, f"{root.rstrip('/')}/{sha256[:12]}/{version}/pages", ARTIFACT_SCHEMA)
+    return rows.withColumn("geometry", F.when(wrong.isNull(), g).otherwise(F.raise_error(wrong).cast(rows.schema["geometry"].dataType)))
 
 
 def source_stems(meta: DataFrame) -> DataFrame:
@@ -217,6 +234,7 @@ def source_stems(meta: DataFrame) -> DataFrame:
     return meta.select("path", F.nullif(F.regexp_replace(F.regexp_extract(source, r"([^/\\]+)$", 1), r"\.[^.]*$", ""), F.lit("")).alias("stem"))
 
 
-def newest_file(files: DataFrame, pattern: str) -> DataFrame:
-    """(path) of the newest file whose path matches a pattern; empty if none does."""
-    return files.where(F.col("path").rlike(pattern)).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).where("path is not null")
+def newest_file(files: DataFrame, *patterns: str) -> DataFrame:
+    """(path) of the newest file whose path matches the first pattern that any does; empty if none does."""
+    rank = F.coalesce(*[F.when(F.col("path").rlike(p), F.lit(-k)) for k, p in enumerate(patterns)])
+    return files.withColumn("rank", rank).where("rank is not null").agg(F.max_by("path", F.struct("rank", "modificationTime", "path")).alias("path")).where("path is not null")

@@ -98,7 +98,7 @@ def test_config(tmp_path):
     c = config.load_config(path, dpi=200, engine=None)
     assert (c.qa_threshold, c.dpi, c.outputs, c.engine) == (0.9, 200, ("markdown", "coco"), "tesseract")
     assert c.version() != config.Config().version() and config.Config(output_dir="x").version() == config.Config().version()
-    for wrong in ({"engine": "x"}, {"langs": []}, {"qa_threshold": 2}, {"nope": 1}, {"engine": "paddle"}):
+    for wrong in ({"engine": "x"}, {"langs": []}, {"qa_threshold": 2}, {"nope": 1}, {"engine": "paddle"}, {"engine": "paddleocr"}):
         with pytest.raises(config.ConfigError):
             config.load_config(**wrong)
     with pytest.raises(config.ConfigError):
