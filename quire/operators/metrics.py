@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from quire.functions.alignment import levenshtein
 from quire.functions.geometry import iou
@@ -21,14 +20,35 @@ def character_errors(predicted: pd.Series, gold: pd.Series) -> pd.Series:
     return pd.Series([None if p is None or g is None else levenshtein(p, g) for p, g in zip(predicted, gold, strict=True)], dtype="Int64")
 
 
+_MATCH = T.StructType([T.StructField("p", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("iou", T.DoubleType()), T.StructField("same_type", T.BooleanType())])
+
+
+@F.pandas_udf(T.ArrayType(_MATCH))
+def _greedy(candidates: pd.Series) -> pd.Series:
+    """The candidates (iou, p, g, same_type) of a page that are taken: the largest IoU first, each box once."""
+
+    def taken(rows) -> list[dict]:
+        used, out = set(), []
+        for r in sorted(rows, key=lambda r: (-r["iou"], r["p"], r["g"])):
+            if used.isdisjoint(ends := {("p", r["p"]), ("g", r["g"])}):
+                used |= ends
+                out.append(r)
+        return out
+
+    return candidates.map(taken)
+
+
 def detections(predicted: DataFrame, gold: DataFrame, floor: float = IOU_FLOOR) -> DataFrame:
-    """(doc_id, page, p, g, iou, same_type): mutual best matches of boxes (doc_id, page, pos, category, bbox) by IoU."""
+    """(doc_id, page, p, g, iou, same_type): boxes (doc_id, page, pos, category, bbox) matched greedily by IoU, each once, from `floor` on.
+
+    Boxes meet on their page; a page holds 10,000 boxes at most, and few of them overlap by half.
+    """
     p = predicted.select("doc_id", "page", F.col("pos").alias("p"), F.col("category").alias("p_type"), F.col("bbox").alias("p_box"))
     g = gold.select("doc_id", "page", F.col("pos").alias("g"), F.col("category").alias("g_type"), F.col("bbox").alias("g_box"))
     both = p.join(g, ["doc_id", "page"]).withColumn("iou", iou(F.col("p_box"), F.col("g_box"))).where(F.col("iou") >= floor)
-    rank = lambda own, other: F.row_number().over(Window.partitionBy("doc_id", "page", own).orderBy(F.desc("iou"), other))
-    best = both.withColumns({"rp": rank("p", "g"), "rg": rank("g", "p")}).where("rp = 1 and rg = 1")
-    return best.select("doc_id", "page", "p", "g", "iou", (F.col("p_type") == F.col("g_type")).alias("same_type"))
+    row = F.struct(F.col("p").cast("int").alias("p"), F.col("g").cast("int").alias("g"), "iou", (F.col("p_type") == F.col("g_type")).alias("same_type"))
+    per = both.groupBy("doc_id", "page").agg(F.collect_list(row).alias("rows"))
+    return per.select("doc_id", "page", F.inline(_greedy("rows")))
 
 
 def detection_scores(matches: DataFrame, predicted: DataFrame, gold: DataFrame) -> DataFrame:

@@ -118,7 +118,20 @@ def reading_order_one_level(spark, d):
     return assemble.first_cut(boxes(spark, d)).select("doc_id", *_long("page", "cut"))
 
 
-@query()
+def _regions(levels: int) -> str:
+    """XY-cut of pages of a few boxes: each level cuts every region at its widest gap across, else down."""
+    out = ["r0 AS (SELECT *, 0 AS region FROM elements WHERE category <> 'page-footer')"]
+    for k in range(levels):
+        part = "PARTITION BY doc_id, page, region"
+        reach = lambda a, n: f"max({a} + {n}) OVER ({part} ORDER BY {a}, {a} + {n} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        middle = lambda a, f: f"arg_max(({f} + {a}) // 2, ({a} - {f}) * 100000 - {a}) FILTER (WHERE {a} - {f} >= 8) OVER ({part})"
+        out.append(f"f{k} AS (SELECT *, {reach('x', 'w')} AS fx, {reach('y', 'h')} AS fy FROM r{k}), c{k} AS (SELECT *, {middle('x', 'fx')} AS cx, {middle('y', 'fy')} AS cy FROM f{k})")
+        out.append(f"r{k + 1} AS (SELECT * EXCLUDE (region, fx, fy, cx, cy), region * 2 + CASE WHEN cx IS NOT NULL THEN CAST(x >= cx AS INT) WHEN cy IS NOT NULL THEN CAST(y >= cy AS INT) ELSE 0 END AS region FROM c{k})")
+    return ", ".join(out)
+
+
+@query(f"""WITH {ELEMENTS}, {_regions(3)}, a AS (SELECT doc_id, page, id, 0 AS aside, region, y, x FROM r3 UNION ALL SELECT doc_id, page, id, 1, 0, y, 0 FROM elements WHERE category = 'page-footer')
+SELECT doc_id, page, id, row_number() OVER (PARTITION BY doc_id ORDER BY page, aside, region, y, x, id) - 1 AS reading_order FROM a""")
 def reading_order(spark, d):
     e = _elements(spark, d).withColumn("render", G.render_mode(F.col("category"), F.lit(False), F.lit(None).cast("long")))
     return assemble.reading_order(e).select("doc_id", *_long("page"), "id", *_long("reading_order"))
@@ -301,7 +314,9 @@ def _matched(spark, d):
     return rows.select("doc_id", F.col("pos").cast("int").alias("p"), F.col("pos").cast("int").alias("g"), (F.col("w") / 250).alias("teds_struct"), (F.col("h") / 50).alias("teds"))
 
 
-@query()
+@query(f"""WITH {BOXES}, c AS (SELECT doc_id, list([struct_pack(p := page, g := part % 4, s := h / 50, t := w / 250)] ORDER BY h / 50 DESC, w / 250 DESC, page, part % 4) AS cs FROM boxes WHERE category = 'table' AND h / 50 >= 0.5 GROUP BY 1),
+m AS (SELECT doc_id, unnest(list_reduce(cs, lambda a, b: CASE WHEN len(list_filter(a, lambda z: z.p = b[1].p OR z.g = b[1].g)) > 0 THEN a ELSE list_concat(a, b) END)) AS x FROM c)
+SELECT doc_id, x.p AS p, x.g AS g, x.s AS teds_struct, x.t AS teds FROM m""")
 def greedy_pairing(spark, d):
     """Table boxes of an order's pages as predictions, parts as gold tables."""
     rows = boxes(spark, d).where("category = 'table'").select("doc_id", F.col("page").cast("int").alias("p"), (F.col("part") % 4).cast("int").alias("g"), (F.col("h") / 50).alias("teds_struct"), (F.col("w") / 250).alias("teds"))
@@ -341,9 +356,11 @@ def label_prep(spark, d):
     return table(spark, d, "pages").select("page_id", N.label_prep("html").alias("text"))
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+s AS (SELECT *, CASE WHEN line <> '' AND regexp_matches(text, '\\S') THEN 1 - CAST(length(line) - length(replace(line, 'n', '')) AS DOUBLE) / length(line) END AS similarity FROM l)
+SELECT doc_id, line_no, CASE WHEN similarity >= 0.7 THEN line END AS label, round(similarity, 4) AS similarity, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'empty ocr or ground truth' WHEN line = '' THEN 'empty gt span' WHEN similarity < 0.7 THEN format('similarity {:.3f} < 0.7', similarity) END AS reason FROM s""")
 def label_align(spark, d):
-    """The lines of documents, n read as m, against the document as one page of gold text."""
+    """The lines of documents, n read as m, against the document as one page of gold text; no text has tables, tags or bullets."""
     docs = table(spark, d, "documents").select("doc_id", F.lit(1).alias("page"), "text")
     rows = docs.select("doc_id", "page", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     lines = rows.select("doc_id", "page", "line_no", F.replace("line", F.lit("n"), F.lit("m")).alias("text"))

@@ -169,3 +169,10 @@ def test_metrics(spark):
     tau = {r.doc_id: r.tau for r in metrics.order_tau(order).collect()}
     assert tau["d"] == pytest.approx(1 / 3) and tau["e"] is None
     assert metrics.calibration(spark.createDataFrame([(1.0, 1), (0.95, 0)], "confidence double, correct int")).first().bin == 9
+
+
+def test_boxes_are_matched_greedily(spark):
+    """A box whose best partner is taken gets the next one."""
+    rows = lambda xs: spark.createDataFrame([("d", 1, i, "text", (x, 0, 100, 10)) for i, x in enumerate(xs)], f"doc_id string, page int, pos int, category string, bbox {BOX}")
+    found = metrics.detections(rows([0, 10]), rows([4, 30]))  # box 1 is nearest to 4, which box 0 has
+    assert sorted((r.p, r.g) for r in found.collect()) == [(0, 0), (1, 1)]
