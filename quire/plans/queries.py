@@ -119,7 +119,7 @@ def reading_order_one_level(spark, d):
 
 
 def _regions(levels: int) -> str:
-    """XY-cut of pages of a few boxes: each level cuts every region at its widest gap across, else down."""
+    """XY-cut of pages of few boxes, in at most so many levels: each cuts every region at its widest gap across, else down."""
     out = ["r0 AS (SELECT *, 0 AS region FROM elements WHERE category <> 'page-footer')"]
     for k in range(levels):
         part = "PARTITION BY doc_id, page, region"
@@ -130,7 +130,7 @@ def _regions(levels: int) -> str:
     return ", ".join(out)
 
 
-@query(f"""WITH {ELEMENTS}, {_regions(3)}, a AS (SELECT doc_id, page, id, 0 AS aside, region, y, x FROM r3 UNION ALL SELECT doc_id, page, id, 1, 0, y, 0 FROM elements WHERE category = 'page-footer')
+@query(f"""WITH {ELEMENTS}, {_regions(10)}, a AS (SELECT doc_id, page, id, 0 AS aside, region, y, x FROM r10 UNION ALL SELECT doc_id, page, id, 1, 0, y, 0 FROM elements WHERE category = 'page-footer')
 SELECT doc_id, page, id, row_number() OVER (PARTITION BY doc_id ORDER BY page, aside, region, y, x, id) - 1 AS reading_order FROM a""")
 def reading_order(spark, d):
     e = _elements(spark, d).withColumn("render", G.render_mode(F.col("category"), F.lit(False), F.lit(None).cast("long")))
