@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,12 @@ def materialize(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished tables now, not when the driver's memory next runs short."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the table behind a DataFrame that materialize gave; others are left alone."""
     path = getattr(df, "_quire_path", None)

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bucket_count, dealt, materialize
+from quire.llm.common import bucket_count, dealt, materialize, release_shuffles
 
 FOLDS, HELD_OUT = 7, 2
 #: Tokens to a chunk when counting or sending probes, where large chunks combine more, and when scoring with a broadcast filter.
@@ -47,7 +47,7 @@ CHUNK_TOKENS, SCORE_TOKENS = 1 << 20, 1 << 18
 CACHED_WORDS = 300_000
 BITS_PER_EVENT, PROBES = 8, 3
 #: Bytes of a filter that is still broadcast.
-MOST_BROADCAST = 1 << 26
+MOST_BROADCAST = 1 << 24
 #: Exact counts of at most this many words are broadcast, 16 bytes each.
 HEAD = 1 << 20
 MU = 8.0
@@ -390,6 +390,7 @@ def score_texts(docs: DataFrame, bits_per_event: int = BITS_PER_EVENT) -> DataFr
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"))
     buckets = bucket_count(docs)
     table = count_ngrams(docs.where("not held_out"), buckets, bits_per_event)
+    release_shuffles(docs.sparkSession)
     words = table.where("kind = 0").select("h", "c")
     train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
     head_h, head_c, limit = frequent_words(words)
