@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from quire.functions.alignment import labelled_lines
 from quire.functions.geometry import bounding_box, from_canonical
-from quire.operators.common import spread
 
 MIN_WIDTH, MIN_HEIGHT, MIN_LINES = 16, 8, 50
 VARIANTS = ("blur", "noise", "jpeg")
@@ -55,12 +54,17 @@ def align_lines(lines: DataFrame, gold: DataFrame) -> DataFrame:
 
     Lines of pages without gold text get a reason and no label.
     """
-    truth = gold.select("doc_id", "page", F.col("text").alias("gold"))
-    per = lines.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("lines"))
-    said = F.transform("lines", lambda x: F.coalesce(x["text"], F.lit("")))
-    both = spread(per.join(truth, ["doc_id", "page"], "left"), "doc_id", "page").withColumn("found", _align(said, F.coalesce("gold", F.lit(""))))
-    each = both.select("doc_id", "page", F.explode(F.arrays_zip("lines", "found")).alias("z"))
-    return each.select("doc_id", "page", "z.lines.line_no", "z.found.label", "z.found.similarity", "z.found.reason")
+    keys = ["doc_id", "page"]
+    line = lines.select(*keys, F.struct("line_no", F.coalesce("text", F.lit("")).alias("text")).alias("line"))
+    truth = gold.where("doc_id is not null and page is not null").select(*keys, F.coalesce("text", F.lit("")).alias("gold"))
+    every = line.unionByName(truth, allowMissingColumns=True)
+    # One exchange takes lines and gold to their page; a number of partitions that is asked for isn't merged by adaptive execution, as aligning costs more than bytes suggest.
+    met = every.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    per = met.groupBy(*keys).agg(F.array_sort(F.collect_list("line")).alias("lines"), F.collect_list("gold").alias("golds")).where("size(lines) > 0")
+    both = per.select(*keys, "lines", F.explode_outer("golds").alias("gold"))
+    each = both.select(*keys, F.explode(F.arrays_zip("lines", _align(F.col("lines.text"), F.coalesce("gold", F.lit(""))).alias("found"))).alias("z"))
+    own = [F.col(k).cast(lines.schema[k].dataType).alias(k) for k in keys]
+    return each.select(*own, "z.lines.line_no", "z.found.label", "z.found.similarity", "z.found.reason")
 
 
 def report(aligned: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from functools import cache
 from itertools import groupby
 
@@ -103,6 +104,45 @@ def test_long_alignment_crosses_blocks():
     assert sum(max(i2 - i1, j2 - j1) for k, i1, i2, j1, j2 in A.operations(a, b) if k != "equal") == A.levenshtein(a, b)
 
 
+def slow_steps(a, b):
+    """The rule of `steps` on the whole table of distances."""
+    head = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    x, y = a[head:], b[head:]
+    table = [[slow_distance(x[:i], y[:j]) for j in range(len(y) + 1)] for i in range(len(x) + 1)]
+    out, i, j = [], len(x), len(y)
+    while i and j:
+        same, less = x[i - 1] == y[j - 1], table[i][j] - 1
+        kind = 0 if same else 1 if table[i - 1][j - 1] == less else 2 if table[i - 1][j] == less else 3
+        out.append(kind)
+        i, j = i - (kind != 3), j - (kind != 2)
+    return [0] * head + (out + [2] * i + [3] * j)[::-1]
+
+
+@pytest.mark.parametrize("block", [1, 3])
+def test_narrow_bands_keep_the_rule(monkeypatch, block):
+    """Bands that start too narrow, windows of few rows: the steps are those of the whole table, for texts and for lists."""
+    monkeypatch.setattr(A, "BLOCK", block)
+    rng = random.Random(block)
+    for _ in range(300):
+        a = "".join(rng.choice("ab\U0001f600") for _ in range(rng.randrange(13)))
+        b = rng.choice([a[4:] + a[:4], a.replace("a", "b"), "".join(rng.choice("ab ") for _ in range(rng.randrange(13)))])
+        assert A.steps(a, b).tolist() == A.steps(list(a), list(b)).tolist() == slow_steps(a, b), (a, b)
+
+
+@pytest.mark.parametrize("read", [lambda rng, c: "m" if c == "n" else c, lambda rng, c: rng.choice(["", "x", c + "x"]) if rng.random() < 0.005 else c])
+def test_long_page_is_aligned_in_its_own_length(read):
+    """Half a million characters; bit vectors as long as the text took the square of that, minutes here."""
+    rng = random.Random(5)
+    gold = "\n".join("".join(rng.choice("abcde nop") for _ in range(60)) + "." for _ in range(8000))
+    lines = "".join(read(rng, c) if c != "\n" else c for c in gold).split("\n")
+    began = time.process_time()
+    made = A.labelled_lines(lines, gold)
+    assert time.process_time() - began < 30
+    assert [x[0] for x in made].count(None) < 8000 * 0.01
+    for line, (label, like, _) in list(zip(lines, made, strict=True))[::400]:
+        assert label is None or like == 1 - slow_distance(line, label) / max(len(line), len(label))
+
+
 @pytest.mark.parametrize(("second", "first"), list(N.tone_pairs().items()))
 def test_tones_move_to_the_first_vowel(second, first):
     q = "Q" if second[0].isupper() else "q"

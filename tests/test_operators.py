@@ -159,6 +159,19 @@ def test_labels(spark):
         labels.training_list(spark.createDataFrame([("s",)], "stem string"))
 
 
+def test_labels_of_awkward_pages(spark):
+    """Lines out of order or null, pages without lines, a page with two gold texts, keys of another type or null; one exchange takes all to their pages."""
+    lines = spark.createDataFrame([("d", 1, 1, "World"), ("d", 1, 0, "Hello"), ("d", 2, 0, None), ("d", 2, 1, "rain"), (None, 1, 0, "x"), ("t", 1, 0, "snow")], "doc_id string, page int, line_no int, text string")
+    gold = spark.createDataFrame([("d", 1, "Hello\nWorld"), ("d", 2, "rain"), (None, 1, "x"), ("d", 9, "no lines"), ("t", 1, "snow"), ("t", 1, None)], "doc_id string, page long, text string")
+    out = labels.align_lines(lines, gold)
+    assert out.schema["page"].dataType.simpleString() == "int"
+    empty = "empty ocr or ground truth"
+    assert sorted(map(tuple, out.select("doc_id", "page", "line_no", "label", "reason").collect()), key=str) == sorted([
+        ("d", 1, 0, "Hello", None), ("d", 1, 1, "World", None), ("d", 2, 0, None, "empty gt span"), ("d", 2, 1, "rain", None), (None, 1, 0, None, empty), ("t", 1, 0, "snow", None), ("t", 1, 0, None, empty),
+    ], key=str)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_metrics(spark):
     b = f"doc_id string, page int, pos int, category string, bbox {BOX}"
     gold = spark.createDataFrame([("d", 1, 0, "text", (0, 0, 10, 10)), ("d", 1, 1, "table", (50, 50, 10, 10))], b)
