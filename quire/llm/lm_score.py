@@ -14,7 +14,8 @@ holds every n-gram and grows with them. The number of buckets follows the bytes
 
 Probing: a filter of at most MOST_BROADCAST bytes, which is checked, is broadcast to the workers. A larger one stays where it
 is: each chunk of texts sends its distinct n-grams to their segments, one binary row for each segment,
-gets their levels back and is scored with them. Both ways give the same scores.
+gets their levels back and is scored with them. That goes in ROUNDS, each with its share of the rows, as what is sent and what comes back are on disk
+together; a round's are deleted before the next. Both ways give the same scores.
 
 Scoring: p(w | u v) = (c(u, v, w) + MU * p(w | v)) / (c(u, v) + MU), p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU) and
 p(w) = (c(w) + 1) / (N + V + 1), all counts from probes.
@@ -29,6 +30,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,8 @@ CACHED_WORDS = 300_000
 BITS_PER_EVENT, PROBES = 8, 3
 #: Bytes of a filter that is still broadcast.
 MOST_BROADCAST = 1 << 24
+#: Rounds of probes that are sent; each row is scored in the one that its hash gives.
+ROUNDS = 2
 #: Exact counts of at most this many words are broadcast, 16 bytes each.
 HEAD = 1 << 20
 MU = 8.0
@@ -109,6 +113,12 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: str, tokens: int) -> Iter
                 yield batch.slice(a, b - a)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """np.unique by sorting; without indexes or counts NumPy has a hash table, here up to 50 times slower."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def _steps(low: np.ndarray) -> bytes:
     """Sorted 32-bit numbers as differences, a byte of all after another, as high bytes are mostly zero."""
     return np.diff(low.astype("<u4"), prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -344,7 +354,7 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
             ids = side.getvalue().to_pybytes()
             raw = np.array([len(ids), len(words)], dtype="<i8").tobytes() + ids + words[order].tobytes() + planes.tobytes()
             keys, blobs = [-1 - chunk % buckets], [np.array([len(raw)], dtype="<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)]
-            grams = np.unique(np.concatenate(_grams(tokens, at)))
+            grams = _distinct(np.concatenate(_grams(tokens, at)))
             low, cut = _keys(grams, shift), _cuts(grams, buckets)
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 keys.append(b)
@@ -384,6 +394,16 @@ def _score_by_shuffle(source: DataFrame, segments: DataFrame, buckets: int, scor
     return answers.groupBy("chunk").applyInArrow(finish, schema)
 
 
+def _in_rounds(source: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The scores of all rows of source with a number for each (row); every round's shuffles are deleted before the next begins."""
+    done = []
+    for k in range(ROUNDS):
+        part = score(source.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k))
+        done.append(materialize(part.withColumn("row", F.monotonically_increasing_id() * ROUNDS + k)))
+        release_shuffles(source.sparkSession)
+    return reduce(DataFrame.unionByName, done)
+
+
 def score_texts(docs: DataFrame, bits_per_event: int = BITS_PER_EVENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs."""
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
@@ -399,9 +419,11 @@ def score_texts(docs: DataFrame, bits_per_event: int = BITS_PER_EVENT) -> DataFr
     filter_bytes = int(segments.agg(F.sum(F.octet_length("data"))).first()[0] or 0)
     source = docs.select("doc_id", "held_out", F.col("text").cast("binary").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    way = _score_by_broadcast if filter_bytes <= MOST_BROADCAST else _score_by_shuffle
-    scored = way(source, segments, buckets, _Scorer(head_h, head_c, total), f"doc_id {kind}, held_out boolean, {_Scorer.SCHEMA}")
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()))
+    scorer, schema = _Scorer(head_h, head_c, total), f"doc_id {kind}, held_out boolean, {_Scorer.SCHEMA}"
+    if filter_bytes <= MOST_BROADCAST:
+        scored = materialize(_score_by_broadcast(source, segments, buckets, scorer, schema).withColumn("row", F.monotonically_increasing_id()))
+    else:
+        scored = _in_rounds(source, lambda part: _score_by_shuffle(part, segments, buckets, scorer, schema))
     rare = scored.select("row", F.explode("tail").alias("h")).groupBy("row", "h").agg(F.count("*").alias("times")).join(words.where(F.floor(F.log2("c") * 4) < limit) if limit != float("inf") else words, "h", "left")
     count = F.coalesce("c", F.lit(0))
     per = rare.groupBy("row").agg(F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10((count + 1) / F.lit(float(total)))).alias("more_base"))

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from itertools import pairwise
 from pathlib import Path
@@ -672,6 +673,27 @@ def test_shuffled_probes_give_the_same_scores(documents, awkward, monkeypatch):
     assert lm_score.score_texts(awkward.where("false")).count() == 0
 
 
+@given_tables
+def test_probes_are_sent_in_rounds(documents, awkward, monkeypatch):
+    """Each round sends its share of the rows, each row once, repeated and null doc_ids too."""
+    docs = documents.select("doc_id", "text").union(awkward.select("doc_id", "text"))
+    sent, way = [], lm_score._score_by_shuffle
+    monkeypatch.setattr(lm_score, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(lm_score, "_score_by_shuffle", lambda source, *more: sent.append(source.count()) or way(source, *more))
+    scored = lm_score.score_texts(docs)
+    assert sum(sent) == docs.count() == scored.count() and len(sent) > 1 and max(sent) < 0.65 * sum(sent)
+
+
+@pytest.mark.parametrize("size", [0, 1, 3_000_000])
+def test_distinct_hashes(size):
+    """Sorted, and not by NumPy's hash table, which took seconds for the n-grams of a chunk."""
+    x = np.random.default_rng(1).integers(0, 2**62, size, dtype=np.uint64) // np.uint64(2**41)
+    began = time.process_time()
+    got = lm_score._distinct(x)
+    assert time.process_time() - began < 1
+    assert got.tolist() == sorted(set(x.tolist()))
+
+
 def slow_scores(rows):
     """The model's scores with exact counts that are rounded to their levels."""
     texts = [(i, [*WORD.findall(lower(t)), None]) for i, t in rows]
