@@ -7,32 +7,53 @@ spark.checkpoint.dir and reads it again, so a stage is never made twice, and del
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup
-from quire.llm.common import materialize, table
+from quire.llm.common import bound_batches, materialize, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def bounded(stage: Stage) -> Stage:
+    """The stage, its batches bounded by bytes: the stages follow each other in the same executors, whose memory doesn't shrink."""
+
+    @wraps(stage)
+    def run_bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_bounded
 
 
+@bounded
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules.keep_good(docs)
 
 
+@bounded
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays, the one with the least doc_id."""
     return simhash_dedup.keep_one_similar(docs)
 
 
+@bounded
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are replaced."""
     return secret_scan.redact(docs)
 
 
+@bounded
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in training sequences."""
     return packing.pack(docs, with_ids=False)

@@ -83,16 +83,21 @@ def measured(docs: DataFrame, names: dict[str, str], keep: list[str]) -> DataFra
     plain = [*[f"c{k}" for k in range(len(keep))], *METRICS]  # Arrow functions take no names with dots or backticks
     fields = [T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep, strict=False)]
     schema = T.StructType([*fields, *[T.StructField(m, T.LongType()) for m in METRICS]])
+    # A text that is kept is measured where it stands; else it goes along as a column of its own.
+    sent = [k for k, c in enumerate(keep) if c.lower() == "text" and isinstance(docs.schema[c].dataType, T.StringType)]
+    at_text = sent[0] if sent else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = np.array([measure(x) for x in part.column(part.num_columns - 1).to_pylist()], dtype=np.int64).reshape(-1, len(METRICS))
+                texts = part.column(at_text)
+                texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else pa.binary())
+                found = np.array([measure(x) for x in texts.to_pylist()], dtype=np.int64).reshape(-1, len(METRICS))
                 made = [pa.array(found[:, k]) for k in range(len(METRICS))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], plain)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(plain) - len(METRICS)], *made], plain)
 
-    rows = docs.select(*[named(c).alias(p) for p, c in zip(plain, keep, strict=False)], F.col("text").cast("binary").alias("text"))
+    rows = docs.select(*[named(c).alias(p) for p, c in zip(plain, keep, strict=False)], *([] if sent else [F.col("text").cast("binary").alias("text")]))
     return rows.mapInArrow(run, schema).toDF(*keep, *[names[m] for m in METRICS])
 
 

@@ -8,8 +8,10 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quire.llm.queries import oracle_sql, queries
 from tests.llm.test_operators import WORD, lower, slow_quality, slow_windows
@@ -131,3 +133,49 @@ def test_result_of_awkward_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} == {1, None}
+
+
+def test_pipeline_bounds_batches_by_bytes(spark):
+    """Every stage bounds what a task holds of texts, for the executors too that run its result later; a bound of the session's own stays."""
+    import corpus_pipeline as P
+    from quire.llm.common import BATCHES
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    docs, before = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 500) AS text", "'en' AS lang", "'a' AS source"), {k: spark.conf.get(k, None) for k in BATCHES}
+    stages = [P.bounded(lambda spark, docs, sf_dir: docs), P.keep_good, *[stage for _, stage in P.STAGES]]
+    try:
+        for stage in stages:
+            for key in BATCHES:
+                spark.conf.unset(key)
+            stage(spark, docs.limit(5), str(DIR))
+            assert all(spark.conf.get(k, None) == v for k, v in BATCHES.items()), stage
+        found = docs.mapInArrow(sizes, "rows long, size long").collect()
+        assert sum(r.rows for r in found) == 4000 and max(r.size for r in found) < 3 << 20
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "65536")
+        P.keep_good(spark, docs.limit(5), str(DIR))
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "65536"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_quality_stage_sends_a_text_once(spark):
+    """keep_good's texts go to Python once, under any case of their name, and come back unchanged; other types of text go along as bytes."""
+    from quire.llm import quality_rules
+
+    text = " ".join(f"wörd{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text, "en", "a"), (2, None, "en", "a"), (3, text + "\n\x00é", None, None)], "doc_id long, text string, lang string, source string")
+    names = {m: m for m in quality_rules.METRICS}
+    for docs, sent in ((df, 1), (df.withColumnRenamed("text", "TEXT"), 1), (df.withColumn("text", F.encode("text", "UTF-8")), 2)):
+        rows = quality_rules.measured(docs, names, docs.columns)
+        want = [(*r, *quality_rules.measure(r[1] if r[1] is None else bytes(r[1]) if sent == 2 else r[1].encode())) for r in map(tuple, docs.collect())]
+        assert sorted(map(tuple, rows.collect())) == sorted(want)
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        while plan.nodeName() != "MapInArrow":
+            plan = plan.children().head()
+        fed = plan.children().head().output()
+        assert sum(fed.apply(k).dataType().simpleString() == "binary" or fed.apply(k).name() == "c1" for k in range(fed.size())) == sent
+        assert [r[0] for r in quality_rules.keep_good(docs).select("doc_id").orderBy("doc_id").collect()] == [1, 3]
